@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from tillroll.functions import fixed_values as fixed
 
 _NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# A failed cast costs far more than a pattern, so text is looked at before it is cast.
+_WHOLE_PATTERN = r"^\s*[+-]?\d+\s*$"
 
 
 def month_of(ts: Column) -> Column:
@@ -45,7 +47,7 @@ def lenient_bigint(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.IntegralType):
         return F.col(name).cast("bigint")
     if isinstance(df.schema[name].dataType, T.StringType):
-        exact = F.col(name).try_cast("bigint")
+        exact = F.when(F.col(name).rlike(_WHOLE_PATTERN), F.col(name).try_cast("bigint"))
     else:
         exact = F.lit(None).cast("bigint")
     return F.coalesce(exact, lenient_double(df, name).try_cast("bigint"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -44,10 +45,14 @@ def check_accepted_values(df: DataFrame, column: str, values: tuple | list) -> D
 
 
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Number of child rows whose value is not a key of the parent; nulls are ignored."""
+    """Number of child rows whose value is not a key of the parent; nulls are ignored.
+
+    Child rows are counted per value before the join, so a frequent value is one row in it.
+    """
     keys = parent.select(F.col(key).alias(column))
-    orphans = child.select(column).where(F.col(column).isNotNull()).join(keys, column, "left_anti")
-    return orphans.agg(F.count("*").alias("failures"))
+    values = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    orphans = values.join(keys, column, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
 
 
 def _checks(model: str, **columns: str) -> list[Check]:
@@ -95,18 +100,8 @@ SUITE: list[Check] = [
 ]
 
 
-def _one_pass(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Row-wise checks of one model as one aggregate, then one row per check."""
-    counted = df.agg(
-        *[
-            (
-                _not_null_failures(c.column)
-                if c.kind == "not_null"
-                else _outside_failures(c.column, c.values)
-            ).alias(f"c{i}")
-            for i, c in enumerate(checks)
-        ]
-    )
+def _as_rows(model: str, counted: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from one row with the failures in columns c0, c1, ..."""
     rows = F.array(
         *[
             F.struct(
@@ -120,29 +115,63 @@ def _one_pass(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     return counted.select(F.lit(model).alias("model"), F.inline(rows))
 
 
-def run_quality_suite(layers: dict[str, DataFrame], suite: list[Check] | None = None) -> DataFrame:
-    """All checks as rows: model, column_name, check_name, failures, passed."""
+def _line_checks(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Checks that look at one row at a time, as one aggregate over the model."""
+    counted = df.agg(
+        *[
+            (
+                _not_null_failures(c.column)
+                if c.kind == "not_null"
+                else _outside_failures(c.column, c.values)
+            ).alias(f"c{i}")
+            for i, c in enumerate(checks)
+        ]
+    )
+    return _as_rows(model, counted, checks)
+
+
+def _key_checks(
+    model: str, column: str, layers: Mapping[str, DataFrame], checks: list[Check]
+) -> DataFrame:
+    """All checks of a key column from its values and how often each occurs."""
+    values = layers[model].groupBy(column).agg(F.count("*").alias("n"))
+    present = F.col(column).isNotNull()
+    counts = []
+    for i, c in enumerate(checks):
+        if c.kind == "unique":
+            failures = F.count_if(present & (F.col("n") > 1))
+        elif c.kind == "not_null":
+            failures = F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0))
+        else:
+            keys = layers[c.parent].select(F.col(c.key).alias(column)).distinct()
+            values = values.join(keys.withColumn(f"known{i}", F.lit(True)), column, "left")
+            orphan = present & F.col(f"known{i}").isNull()
+            failures = F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0))
+        counts.append(failures.alias(f"c{i}"))
+    return _as_rows(model, values.agg(*counts), checks)
+
+
+def run_quality_suite(
+    layers: Mapping[str, DataFrame], suite: list[Check] | None = None
+) -> DataFrame:
+    """All checks as rows: model, column_name, check_name, failures, passed.
+
+    A model is read once for its row checks and once per key column.
+    """
     suite = SUITE if suite is None else suite
     results = []
     for model in dict.fromkeys(c.model for c in suite):
         mine = [c for c in suite if c.model == model]
-        row_wise = [c for c in mine if c.kind in ("not_null", "accepted_values")]
-        if row_wise:
-            results.append(_one_pass(model, layers[model], row_wise))
-        for c in mine:
-            if c.kind == "unique":
-                found = check_unique(layers[model], c.column)
-            elif c.kind == "relationships":
-                found = check_relationships(layers[model], c.column, layers[c.parent], c.key)
-            else:
-                continue
-            results.append(
-                found.select(
-                    F.lit(model).alias("model"),
-                    F.lit(c.column).alias("column_name"),
-                    F.lit(c.kind).alias("check_name"),
-                    "failures",
-                )
-            )
+        keys = list(dict.fromkeys(c.column for c in mine if c.kind in ("unique", "relationships")))
+        by_line = [c for c in mine if c.column not in keys]
+        if by_line:
+            results.append(_line_checks(model, layers[model], by_line))
+        for column in keys:
+            checks = [c for c in mine if c.column == column]
+            by_key = [c for c in checks if c.kind != "accepted_values"]
+            results.append(_key_checks(model, column, layers, by_key))
+            others = [c for c in checks if c.kind == "accepted_values"]
+            if others:
+                results.append(_line_checks(model, layers[model], others))
     every = reduce(DataFrame.unionByName, results)
     return every.withColumn("passed", F.col("failures") == 0)

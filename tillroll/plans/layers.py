@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans import models
@@ -9,48 +11,99 @@ from tillroll.sources.schemas import MART_SCHEMAS
 
 MARTS = list(MART_SCHEMAS)
 
+MODELS = [
+    "stg_sales",
+    "stg_customers",
+    "stg_products",
+    "stg_countries",
+    "int_sales_enriched",
+    "int_order_metrics",
+    "int_customer_orders",
+    "int_customer_lifetime_value",
+    "int_country_metrics",
+    *MARTS,
+]
+
+
+class Layers:
+    """The fourteen models over one star, each defined on first use."""
+
+    def __init__(self, star: dict[str, DataFrame]) -> None:
+        self._star = star
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in MODELS:
+            raise KeyError(name)
+        return getattr(self, name)
+
+    @cached_property
+    def stg_sales(self) -> DataFrame:
+        return models.stg_sales(self._star["fact_sales"])
+
+    @cached_property
+    def stg_customers(self) -> DataFrame:
+        return models.stg_customers(self._star["dim_customer"])
+
+    @cached_property
+    def stg_products(self) -> DataFrame:
+        return models.stg_products(self._star["dim_product"])
+
+    @cached_property
+    def stg_countries(self) -> DataFrame:
+        return models.stg_countries(self._star["dim_country"])
+
+    @cached_property
+    def int_sales_enriched(self) -> DataFrame:
+        return models.int_sales_enriched(self.stg_sales, self.stg_products, self.stg_countries)
+
+    @cached_property
+    def int_order_metrics(self) -> DataFrame:
+        return models.int_order_metrics(self.stg_sales)
+
+    @cached_property
+    def int_customer_orders(self) -> DataFrame:
+        return models.int_customer_orders(self.stg_sales)
+
+    @cached_property
+    def int_customer_lifetime_value(self) -> DataFrame:
+        return models.int_customer_lifetime_value(self.int_customer_orders)
+
+    @cached_property
+    def int_country_metrics(self) -> DataFrame:
+        return models.int_country_metrics(self.stg_sales, self.stg_countries)
+
+    @cached_property
+    def mart_executive_kpis(self) -> DataFrame:
+        return models.mart_executive_kpis(self.int_order_metrics, self.int_customer_orders)
+
+    @cached_property
+    def mart_customer_lifetime_value(self) -> DataFrame:
+        return models.mart_customer_lifetime_value(self.int_customer_lifetime_value)
+
+    @cached_property
+    def mart_repeat_purchase_metrics(self) -> DataFrame:
+        return models.mart_repeat_purchase_metrics(self.int_customer_orders)
+
+    @cached_property
+    def mart_country_revenue(self) -> DataFrame:
+        return models.mart_country_revenue(self.int_country_metrics)
 
-def build_layers(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The fourteen models by name. Lazy: nothing runs until one is used."""
-    sales = models.stg_sales(star["fact_sales"])
-    customers = models.stg_customers(star["dim_customer"])
-    products = models.stg_products(star["dim_product"])
-    countries = models.stg_countries(star["dim_country"])
-    orders = models.int_order_metrics(sales)
-    customer_orders = models.int_customer_orders(sales)
-    lifetime_value = models.int_customer_lifetime_value(customer_orders)
-    by_country = models.int_country_metrics(sales, countries)
-    return {
-        "stg_sales": sales,
-        "stg_customers": customers,
-        "stg_products": products,
-        "stg_countries": countries,
-        "int_sales_enriched": models.int_sales_enriched(sales, products, countries),
-        "int_order_metrics": orders,
-        "int_customer_orders": customer_orders,
-        "int_customer_lifetime_value": lifetime_value,
-        "int_country_metrics": by_country,
-        "mart_executive_kpis": models.mart_executive_kpis(orders, customer_orders),
-        "mart_customer_lifetime_value": models.mart_customer_lifetime_value(lifetime_value),
-        "mart_repeat_purchase_metrics": models.mart_repeat_purchase_metrics(customer_orders),
-        "mart_country_revenue": models.mart_country_revenue(by_country),
-        "mart_sales_monthly": models.mart_sales_monthly(sales),
-    }
+    @cached_property
+    def mart_sales_monthly(self) -> DataFrame:
+        return models.mart_sales_monthly(self.stg_sales)
 
 
 def register_layers(
-    spark: SparkSession,
-    star: dict[str, DataFrame],
-    mart_schema: str | None = None,
-) -> dict[str, DataFrame]:
+    spark: SparkSession, star: dict[str, DataFrame], mart_schema: str | None = None
+) -> Layers:
     """Publish every model as a temporary view under its name.
 
     With ``mart_schema`` the marts are also saved as tables of that schema,
-    which is where ``export_marts`` can read them without computing them again.
+    where ``export_marts`` reads them without computing them again.
     """
-    layers = build_layers(star)
-    for name, df in layers.items():
-        df.createOrReplaceTempView(name)
+    layers = Layers(star)
+    for name in MODELS:
+        layers[name].createOrReplaceTempView(name)
     if mart_schema:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {mart_schema}")
         for name in MARTS:

@@ -13,7 +13,6 @@ from tillroll.sources.schemas import (
     MART_SCHEMAS,
     STAR_SCHEMAS,
     STAR_TABLES,
-    conform_to_schema,
     string_schema,
 )
 from tillroll.sources.writers import CSV_OPTIONS
@@ -50,13 +49,14 @@ def read_processed_fact(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_star(spark: SparkSession, folder: str, views: bool = True) -> dict[str, DataFrame]:
-    """The four star tables from a folder, also as temporary views."""
-    star = {}
-    for name in STAR_TABLES:
-        table = spark.read.parquet(f"{folder.rstrip('/')}/{name}")
-        star[name] = conform_to_schema(table, STAR_SCHEMAS[name])
-        if views:
-            star[name].createOrReplaceTempView(name)
+    """The four star tables from a folder with their declared schemas, also as views."""
+    star = {
+        name: spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}")
+        for name in STAR_TABLES
+    }
+    if views:
+        for name, table in star.items():
+            table.createOrReplaceTempView(name)
     return star
 
 

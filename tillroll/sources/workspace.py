@@ -12,10 +12,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _LOCK = threading.RLock()
 _ROOTS: dict[str, str] = {}
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str], tuple[str, StructType | None]] = {}
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -44,22 +45,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the work folder and read it back."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def landed_once(
-    spark: SparkSession, key: str, write: Callable[[str], None]
-) -> str:
-    """Path of a table set that ``write(path)`` produces on first use only."""
+    spark: SparkSession, key: str, write: Callable[[str], StructType | None]
+) -> tuple[str, StructType | None]:
+    """Path of what ``write(path)`` stores on first use only, and the schema it returns."""
     app = spark.sparkContext.applicationId
     with _LOCK:
         if (app, key) not in _LANDED:
             path = fresh_path(spark, "set")
-            write(path)
-            _LANDED[(app, key)] = path
+            schema = write(path)
+            _LANDED[(app, key)] = (path, schema)
         return _LANDED[(app, key)]
+
+
+def landed_table(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that is computed and written on first use and read from then on."""
+
+    def write(path: str) -> StructType:
+        table = build()
+        table.write.parquet(path)
+        return table.schema
+
+    path, schema = landed_once(spark, key, write)
+    return spark.read.schema(schema).parquet(path)

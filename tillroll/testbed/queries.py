@@ -23,7 +23,7 @@ from tillroll.functions.scalars import (
 )
 from tillroll.operators import cleaning, quality, star
 from tillroll.plans import analytics, metrics, models, pages, semantic
-from tillroll.plans.layers import MARTS, build_layers, register_layers
+from tillroll.plans.layers import MARTS, MODELS, Layers, register_layers
 from tillroll.sources import readers, writers
 from tillroll.sources.schemas import ENRICHED_COLUMNS, STAR_SCHEMAS, conform_to_schema, string_schema
 from tillroll.sources.workspace import fresh_path
@@ -67,8 +67,8 @@ def _on_star(step: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf: _publish_lines(step(tables.star(spark, sf)))
 
 
-def _on_layers(step: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, sf: _publish_lines(step(build_layers(tables.star(spark, sf))))
+def _on_layers(step: Callable[[Layers], DataFrame]) -> Query:
+    return lambda spark, sf: _publish_lines(step(Layers(tables.star(spark, sf))))
 
 
 def _on_dashboard(step: Callable[[DataFrame], DataFrame]) -> Query:
@@ -141,8 +141,8 @@ def _export_bi_extracts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _register_layers(spark: SparkSession, sf: str) -> DataFrame:
-    layers = register_layers(spark, tables.star(spark, sf))
-    return _row_counts({name: spark.table(name) for name in layers}, "model")
+    register_layers(spark, tables.star(spark, sf))
+    return _row_counts({name: spark.table(name) for name in MODELS}, "model")
 
 
 # --- cleaning ----------------------------------------------------------------------
@@ -213,7 +213,7 @@ def _lineage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _texts(layers: dict[str, DataFrame]) -> DataFrame:
+def _texts(layers: Layers) -> DataFrame:
     monthly = layers["mart_sales_monthly"]
     sales = layers["stg_sales"]
     total = sales.where("is_positive_sale").agg(F.sum("line_revenue")).scalar().cast("double")
@@ -241,21 +241,21 @@ def _page_view(df: DataFrame) -> DataFrame:
 # --- semantic layer --------------------------------------------------------------------------
 
 
-def _calendar(layers: dict[str, DataFrame]) -> DataFrame:
+def _calendar(layers: Layers) -> DataFrame:
     return semantic.date_dimension(semantic.calendar_bounds(layers["mart_sales_monthly"]))
 
 
-def _monthly_by_quarter(layers: dict[str, DataFrame]) -> DataFrame:
+def _monthly_by_quarter(layers: Layers) -> DataFrame:
     return semantic.measures_monthly(
         layers["mart_sales_monthly"], _calendar(layers), ["year", "quarter"]
     )
 
 
-def _monthly_with_calendar(layers: dict[str, DataFrame]) -> DataFrame:
+def _monthly_with_calendar(layers: Layers) -> DataFrame:
     return semantic.monthly_with_calendar(_calendar(layers), layers["mart_sales_monthly"])
 
 
-def _deduped(layers: dict[str, DataFrame]) -> DataFrame:
+def _deduped(layers: Layers) -> DataFrame:
     mart = layers["mart_customer_lifetime_value"]
     return readers.dedupe_by_key(mart.unionByName(mart), "customer_id")
 

@@ -15,7 +15,7 @@ from tillroll.plans.analytics import fact_sales_enriched
 from tillroll.plans.metrics import clean_dashboard_fact
 from tillroll.sources.readers import load_star
 from tillroll.sources.schemas import RAW_COLUMNS
-from tillroll.sources.workspace import landed_once
+from tillroll.sources.workspace import landed_once, landed_table
 from tillroll.sources.writers import write_star
 
 _RETURNED = "(l_returnflag = 'R' AND l_linenumber <= 2)"
@@ -87,10 +87,10 @@ def derive_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = landed_once(
-        spark, f"raw:{sf_dir}", lambda p: derive_raw_lines(spark, sf_dir).write.parquet(p)
+    # Rebalanced to files of even size, also where the order join left uneven partitions.
+    return landed_table(
+        spark, f"raw:{sf_dir}", lambda: derive_raw_lines(spark, sf_dir).hint("rebalance")
     )
-    return spark.read.parquet(path)
 
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +124,7 @@ def build_star(clean: DataFrame) -> dict[str, DataFrame]:
 
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    path = landed_once(
+    path, _ = landed_once(
         spark,
         f"star:{sf_dir}",
         lambda p: write_star(build_star(clean_lines(spark, sf_dir)), p),
@@ -133,12 +133,12 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def dashboard_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
-
-    def write(path: str) -> None:
-        lines = fact_sales_enriched(
-            tables["fact_sales"], tables["dim_country"], tables["dim_product"]
+    def build() -> DataFrame:
+        tables = star(spark, sf_dir)
+        return clean_dashboard_fact(
+            fact_sales_enriched(
+                tables["fact_sales"], tables["dim_country"], tables["dim_product"]
+            )
         )
-        clean_dashboard_fact(lines).write.parquet(path)
 
-    return spark.read.parquet(landed_once(spark, f"dashboard:{sf_dir}", write))
+    return landed_table(spark, f"dashboard:{sf_dir}", build)
