@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
