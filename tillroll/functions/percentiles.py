@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-# Histogram cells per factor e of the value: neighbouring cells differ by 0.2 %.
-_CELLS = 512
-
 
-def _cell(value: Column) -> Column:
-    """A cell number that never falls as the value grows.
-
-    A decimal of 38 digits gives at most 2 * 512 * ln(10**38) = 90,000 cells.
-    """
-    size = F.ln(F.abs(value).cast("double") * 100 + 1) * _CELLS
-    return (F.signum(value.cast("double")) * F.ceil(size)).cast("int")
+# A cell number that never falls as the value grows. There are 512 cells per
+# factor e of the value, so neighbouring cells differ by 0.2 %, and a decimal of
+# 38 digits gives at most 2 * 512 * ln(10**38) = 90,000 cells.
+_CELL = "CAST(signum(v) * ceil(ln(abs(CAST(v AS DOUBLE)) * 100 + 1) * 512) AS INT)"
 
 
 def exact_percentiles(df: DataFrame, value: str, at: dict[str, str]) -> DataFrame:
@@ -31,58 +21,54 @@ def exact_percentiles(df: DataFrame, value: str, at: dict[str, str]) -> DataFram
     number of cells then shows which cells hold the wanted ranks, and only the
     distinct values of those cells are ranked.
     """
-    exact = df.select(F.col(value).cast("decimal(38,4)").alias("v")).where("v IS NOT NULL")
-    counted = exact.groupBy("v").agg(F.count("*").alias("n")).withColumn("cell", _cell(F.col("v")))
-
-    through = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    counted = (
+        df.selectExpr(f"CAST({value} AS DECIMAL(38,4)) AS v")
+        .where("v IS NOT NULL")
+        .groupBy("v")
+        .agg(F.expr("count(*) AS n"))
+        .selectExpr("v", "n", f"{_CELL} AS cell")
+    )
+    # At most 90,000 rows, whatever the size of the data.
     histogram = (
         counted.groupBy("cell")
-        .agg(F.sum("n").alias("n"))
-        # At most 90,000 rows, whatever the size of the data.
-        .select(
-            "cell", "n",
-            F.sum("n").over(through).alias("upto"),
-            F.sum("n").over(Window.partitionBy()).alias("total"),
+        .agg(F.expr("sum(n) AS n"))
+        .selectExpr(
+            "cell",
+            "n",
+            "sum(n) OVER (ORDER BY cell ROWS UNBOUNDED PRECEDING) AS upto",
+            "CAST(sum(n) OVER () - 1 AS DECIMAL(20,0)) AS last",
         )
     )
-
-    wanted = []
-    for name, fraction in at.items():
-        place = (F.col("total") - 1).cast("decimal(20,0)") * F.lit(Decimal(fraction))
-        for side, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
-            wanted.append(
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.lit(side).alias("side"),
-                    rank.cast("bigint").alias("rank"),
-                    (place - F.floor(place)).cast("decimal(12,10)").alias("weight"),
-                )
-            )
     # Two ranks per percentile, each in exactly one cell.
-    targets = (
-        histogram.select(
-            "cell", (F.col("upto") - F.col("n")).alias("before"), "upto",
-            F.explode(F.array(*wanted)).alias("t"),
+    places = [(name, f"last * CAST('{fraction}' AS DECIMAL(10,8))") for name, fraction in at.items()]
+    wanted = ", ".join(
+        f"struct('{name}' AS name, '{side}' AS side, CAST({side}({place}) AS BIGINT) AS rank,"
+        f" CAST({place} - floor({place}) AS DECIMAL(11,10)) AS weight)"
+        for name, place in places
+        for side in ("floor", "ceil")
+    )
+    targets = histogram.selectExpr(
+        "cell", "upto - n AS before", "upto", f"inline(array({wanted}))"
+    ).where("rank >= before AND rank < upto")
+
+    hits = (
+        counted.join(F.broadcast(targets.drop("upto")), "cell")
+        .selectExpr(
+            "name",
+            "side",
+            "rank",
+            "weight",
+            "v",
+            "n",
+            "before + sum(n) OVER (PARTITION BY name, side ORDER BY v"
+            " ROWS UNBOUNDED PRECEDING) AS upto",
         )
-        .where("t.rank >= before AND t.rank < upto")
-        .select("cell", "before", "t.*")
+        .where("rank < upto AND rank >= upto - n")
     )
-
-    in_cell = Window.partitionBy("name", "side").orderBy("v")
-    ranked = counted.join(F.broadcast(targets), "cell").select(
-        "name", "side", "rank", "weight", "v", "n",
-        (F.col("before") + F.sum("n").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)))
-        .alias("upto"),
+    low, high, weight = (
+        "max(CASE WHEN name = '{0}' AND side = 'floor' THEN v END)",
+        "max(CASE WHEN name = '{0}' AND side = 'ceil' THEN v END)",
+        "max(CASE WHEN name = '{0}' THEN weight END)",
     )
-    hits = ranked.where("rank < upto AND rank >= upto - n")
-
-    def interpolated(name: str) -> Column:
-        here = F.col("name") == name
-        low = F.max(F.when(here & (F.col("side") == "low"), F.col("v")))
-        high = F.max(F.when(here & (F.col("side") == "high"), F.col("v")))
-        weight = F.max(F.when(here, F.col("weight")))
-        return (low + (high - low).cast("decimal(27,4)") * weight.cast("decimal(11,10)")).cast(
-            "decimal(38,6)"
-        ).alias(name)
-
-    return hits.agg(*[interpolated(name) for name in at])
+    between = f"CAST({low} + CAST({high} - {low} AS DECIMAL(27,4)) * {weight} AS DECIMAL(38,6))"
+    return hits.agg(*[F.expr(f"{between.format(name)} AS {name}") for name in at])

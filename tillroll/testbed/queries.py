@@ -26,7 +26,7 @@ from tillroll.plans import analytics, metrics, models, pages, semantic
 from tillroll.plans.layers import MARTS, MODELS, Layers, register_layers
 from tillroll.sources import readers, writers
 from tillroll.sources.schemas import ENRICHED_COLUMNS, STAR_SCHEMAS, conform_to_schema, string_schema
-from tillroll.sources.workspace import fresh_path
+from tillroll.sources.workspace import fresh_path, landed_once
 from tillroll.testbed import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,12 +119,24 @@ def _conform(stars: dict[str, DataFrame]) -> DataFrame:
     return conform_to_schema(stars["fact_sales"].drop("is_return"), STAR_SCHEMAS["fact_sales"])
 
 
-def _exported_marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _export_marts(spark: SparkSession, sf: str, path: str) -> writers.ExportResult:
     register_layers(spark, tables.star(spark, sf))
+    return writers.export_marts(spark, path, mart_schema=None)
+
+
+def _exported_mart_rows(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "marts-csv")
-    result = writers.export_marts(spark, path, mart_schema=None)
+    result = _export_marts(spark, sf, path)
     read_back = readers.type_mart_exports(spark, path)
-    return {name: read_back[name] for name in result.exported}
+    return _row_counts({name: read_back[name] for name in result.exported}, "mart")
+
+
+def _type_mart_exports(spark: SparkSession, sf: str) -> DataFrame:
+    def write(path: str) -> None:
+        _export_marts(spark, sf, path)
+
+    path, _ = landed_once(spark, f"marts-csv:{sf}", write)
+    return readers.type_mart_exports(spark, path)["mart_customer_lifetime_value"]
 
 
 def _export_bi_extracts(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +284,7 @@ QUERIES: dict[str, Query] = {
     "load_star": _load_star,
     "write_star": _write_star,
     "conform_to_schema": _on_star(_conform),
-    "export_marts": lambda spark, sf: _row_counts(_exported_marts(spark, sf), "mart"),
+    "export_marts": _exported_mart_rows,
     "export_bi_extracts": _export_bi_extracts,
     "register_layers": _register_layers,
     # cleaning
@@ -383,9 +395,7 @@ QUERIES: dict[str, Query] = {
     ),
     "date_dimension": _on_layers(_calendar),
     "monthly_with_calendar": _on_layers(_monthly_with_calendar),
-    "type_mart_exports": lambda spark, sf: _exported_marts(spark, sf)[
-        "mart_customer_lifetime_value"
-    ],
+    "type_mart_exports": _type_mart_exports,
     "readable_names": _on_layers(lambda layers: readers.readable_names(layers["mart_country_revenue"])),
     "dedupe_by_key": _on_layers(_deduped),
     "monthly_trend": _report(semantic.monthly_trend, "stg_sales"),
