@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.sources.workspace import land
+
 
 @dataclass(frozen=True)
 class Check:
@@ -67,6 +69,9 @@ def _refers(model: str, column: str, parent: str) -> Check:
 
 _TRUE_FALSE = (True, False)
 
+# Models with this many key columns are written before they are checked.
+_KEYS_TO_STORE = 3
+
 SUITE: list[Check] = [
     *_checks(
         "stg_sales", sale_id="unique not_null", invoice_number="not_null", stock_code="not_null",
@@ -131,10 +136,14 @@ def _line_checks(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def _key_checks(
-    model: str, column: str, layers: Mapping[str, DataFrame], checks: list[Check]
+    model: str,
+    df: DataFrame,
+    column: str,
+    checks: list[Check],
+    layers: Mapping[str, DataFrame],
 ) -> DataFrame:
     """All checks of a key column from its values and how often each occurs."""
-    values = layers[model].groupBy(column).agg(F.count("*").alias("n"))
+    values = df.groupBy(column).agg(F.count("*").alias("n"))
     present = F.col(column).isNotNull()
     counts = []
     for i, c in enumerate(checks):
@@ -156,22 +165,22 @@ def run_quality_suite(
 ) -> DataFrame:
     """All checks as rows: model, column_name, check_name, failures, passed.
 
-    A model is read once for its row checks and once per key column.
+    A model is read once for its row checks and once per key column. One that is
+    read often is written first, so that its joins run once.
     """
     suite = SUITE if suite is None else suite
     results = []
     for model in dict.fromkeys(c.model for c in suite):
         mine = [c for c in suite if c.model == model]
         keys = list(dict.fromkeys(c.column for c in mine if c.kind in ("unique", "relationships")))
-        by_line = [c for c in mine if c.column not in keys]
+        by_line = [c for c in mine if c.column not in keys or c.kind == "accepted_values"]
+        df = layers[model].select(*dict.fromkeys(c.column for c in mine))
+        if len(keys) >= _KEYS_TO_STORE:
+            df = land(df, f"checked-{model}")
         if by_line:
-            results.append(_line_checks(model, layers[model], by_line))
+            results.append(_line_checks(model, df, by_line))
         for column in keys:
-            checks = [c for c in mine if c.column == column]
-            by_key = [c for c in checks if c.kind != "accepted_values"]
-            results.append(_key_checks(model, column, layers, by_key))
-            others = [c for c in checks if c.kind == "accepted_values"]
-            if others:
-                results.append(_line_checks(model, layers[model], others))
+            by_key = [c for c in mine if c.column == column and c.kind != "accepted_values"]
+            results.append(_key_checks(model, df, column, by_key, layers))
     every = reduce(DataFrame.unionByName, results)
     return every.withColumn("passed", F.col("failures") == 0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillroll.sources.schemas import STAR_SCHEMAS, conform_to_schema
-from tillroll.sources.workspace import fresh_path
+from tillroll.sources.workspace import land
 
 INVOICE_LENGTH = 20
 CODE_LENGTH = 30
@@ -111,10 +111,7 @@ def number_rows(df: DataFrame, id_column: str) -> DataFrame:
     one-partition window. Written files do not change, so a task that runs again
     gives the same numbers. Sort the rows before to number them in that order.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, "unnumbered")
-    df.write.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
+    stored = land(df, "unnumbered")
     placed = stored.select(
         "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")
     )
