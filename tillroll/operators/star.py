@@ -13,8 +13,8 @@ INVOICE_LENGTH = 20
 CODE_LENGTH = 30
 DESCRIPTION_LENGTH = 255
 
-# A per-file offset is a path and a number: 100,000 of them are about 20 MB.
-_MAX_BROADCAST_FILES = 100_000
+# A per-file offset is a path and a number: 400,000 of them are about 80 MB.
+_MAX_BROADCAST_FILES = 400_000
 
 
 def build_dim_country(clean: DataFrame) -> DataFrame:
