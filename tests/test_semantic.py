@@ -33,7 +33,10 @@ def test_cohorts_by_hand(spark):
     }
     matrix = {r.cohort_month.month: r for r in s.cohort_matrix(s.cohort_retention(sales), 3).collect()}
     assert (matrix[1]["0"], matrix[1]["1"], matrix[1]["2"]) == (100.0, None, 50.0)
-    flow = {r.month.isoformat(): (r.new_customers, r.returning_customers) for r in s.new_vs_returning(sales).collect()}
+    flow = {
+        r.month.isoformat(): (r.new_customers, r.returning_customers)
+        for r in s.new_vs_returning(sales).collect()
+    }
     assert flow == {
         "2010-01-01": (2, 0), "2010-03-01": (0, 1), "2010-12-01": (1, 0), "2011-01-01": (0, 1),
     }

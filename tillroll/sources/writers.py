@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.sources.schemas import STAR_SCHEMAS, STAR_TABLES, conform_to_schema
+from tillroll.sources.schemas import MART_SCHEMAS, STAR_SCHEMAS, STAR_TABLES, conform_to_schema
 
 # Quotes inside quotes are doubled, blanks are kept; the same for reading and writing.
 CSV_OPTIONS = {
@@ -58,10 +58,8 @@ def export_marts(
 
     ``mart_schema=None`` exports the temporary views of ``register_layers``.
     """
-    from tillroll.plans.layers import MARTS
-
     result = ExportResult()
-    for name in MARTS:
+    for name in MART_SCHEMAS:
         table = f"{mart_schema}.{name}" if mart_schema else name
         if not spark.catalog.tableExists(table):
             result.missing.append(name)
