@@ -77,7 +77,11 @@ def attach_country_key(clean: DataFrame, dim_country: DataFrame) -> DataFrame:
 
 
 def keep_known_products(clean: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Lines whose full code is in the dimension; a code above 30 characters never is."""
+    """Lines whose full code is in the dimension; a code above 30 characters never is.
+
+    Pass a stored dimension: Spark then shuffles both sides for this join alone and
+    can split the partition of a code that holds many lines.
+    """
     return clean.join(dim_product.select("stock_code"), "stock_code", "left_semi")
 
 

@@ -175,9 +175,16 @@ def _dim_products(clean: DataFrame) -> DataFrame:
     return star.truncate_strings(star.build_dim_product(clean))
 
 
-def _build_fact(clean: DataFrame) -> DataFrame:
-    fact = star.build_fact_sales(clean, star.build_dim_country(clean), _dim_products(clean))
-    return fact.drop("sale_id")
+def _keep_known(spark: SparkSession, sf: str) -> DataFrame:
+    products = tables.star(spark, sf)["dim_product"]
+    return publish(star.keep_known_products(tables.clean_lines(spark, sf), products))
+
+
+def _build_fact(spark: SparkSession, sf: str) -> DataFrame:
+    stored = tables.star(spark, sf)
+    clean = tables.clean_lines(spark, sf)
+    fact = star.build_fact_sales(clean, stored["dim_country"], stored["dim_product"])
+    return _publish_lines(fact)
 
 
 # --- checks ----------------------------------------------------------------------------
@@ -310,8 +317,8 @@ QUERIES: dict[str, Query] = {
     "attach_country_key": _on_clean(
         lambda df: star.attach_country_key(df, star.build_dim_country(df))
     ),
-    "keep_known_products": _on_clean(lambda df: star.keep_known_products(df, _dim_products(df))),
-    "build_fact_sales": _on_clean(_build_fact),
+    "keep_known_products": _keep_known,
+    "build_fact_sales": _build_fact,
     # staging, intermediate, marts
     "stg_sales": _model("stg_sales"),
     "stg_customers": _model("stg_customers"),
