@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import compare, open_duckdb
+from tillroll.testbed import oracles
+from tillroll.testbed.queries import QUERIES
 
-ORACLES = entry_point.oracle_sql()
-QUERIES = entry_point.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
