@@ -93,3 +93,28 @@ def bounded_by_class(df: DataFrame, key: str, label: str, per_class: int) -> Dat
         share = F.when(F.col(label) == F.lit(row[0]), F.lit(min(1.0, per_class / row[1]))).otherwise(share)
     place = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     return known.where(place < share)
+
+
+class SharedFile:
+    """A tokenizer file's content, sent to each executor once (a file of a few MB)."""
+
+    def __init__(self, spark, path: str):
+        with open(path, encoding="utf-8") as file:
+            self._broadcast = spark.sparkContext.broadcast(file.read())
+        self.id = self._broadcast._jbroadcast.id()
+
+    @property
+    def value(self) -> str:
+        return self._broadcast.value
+
+    def __getstate__(self):
+        return {"_broadcast": self._broadcast, "id": self.id}
+
+
+def byte_signs() -> list[str]:
+    """The sign of each byte in byte-level vocabularies: printable ones stand for themselves, the
+    others take the characters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs = {b: chr(b) for b in plain}
+    rest = iter(range(256, 512))
+    return [signs.get(b) or chr(next(rest)) for b in range(256)]

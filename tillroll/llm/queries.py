@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import simhash_neardup
+import public_tokenizers
+
+from tillroll.llm import bpe, packing, simhash_neardup
 from tillroll.llm.common import table
 from tillroll.llm.shipping import ship_package
 
@@ -25,6 +27,29 @@ def _query(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+@_query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 4096 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    digest = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.best_fit(digest)
+
+
+@_query
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @_query
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
