@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,3 +119,26 @@ def byte_signs() -> list[str]:
     signs = {b: chr(b) for b in plain}
     rest = iter(range(256, 512))
     return [signs.get(b) or chr(next(rest)) for b in range(256)]
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def fit_sigmoid(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Platt's sigmoid with smoothed targets, by Newton steps."""
+    n1, n0 = float(labels.sum()), float(len(labels) - labels.sum())
+    target = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    slope, offset = 1.0, 0.0
+    for _ in range(50):
+        p = sigmoid(slope * margins + offset)
+        w = p * (1 - p) + 1e-9
+        g = np.array([((p - target) * margins).sum() + 1e-3 * slope, (p - target).sum()])
+        h = np.array([[(w * margins**2).sum() + 1e-3, (w * margins).sum()], [(w * margins).sum(), w.sum() + 1e-6]])
+        step = np.linalg.solve(h, g)
+        size = np.abs(step).max()
+        step *= min(1.0, 2.0 / size) if size else 1.0
+        slope, offset = slope - step[0], offset - step[1]
+        if size < 1e-6:
+            break
+    return float(slope), float(offset)

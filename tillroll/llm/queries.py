@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, packing, simhash_neardup
-from tillroll.llm.common import table
+from tillroll.llm import bpe, language_id, packing, quality_nbsvm, simhash_neardup, toxicity_fm
+from tillroll.llm.common import fold_of, table
 from tillroll.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,49 @@ def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash_neardup.link_documents(table(spark, sf_dir, "documents"))
     hex_digits = F.lpad(F.lower(F.hex("simhash")), 16, "0")
     return linked.select("doc_id", hex_digits.alias("fingerprint"), "component_id")
+
+
+@_query
+def op4_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels of four crc32 folds of five."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    known = labels.where((fold_of("doc_id", 5) != 0) & F.col("toxic").isNotNull())
+    model = toxicity_fm.fit(docs.join(known, "doc_id"), "doc_id", "text", "toxic")
+    scored = toxicity_fm.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold_of("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from two crc32 folds of three."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(fold_of("doc_id", 3) != 1))
+    held_out = (fold_of("doc_id", 3) == 1).alias("held_out")
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+@_query
+def op8_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels of three crc32 folds of four."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    scored = quality_nbsvm.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold_of("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_nbsvm.PASS_SCORE).cast("int").alias("predicted"),
+    )
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality_nbsvm.QualityModel:
+    """The quality model of the labelled rows outside fold 2 of 4."""
+    known = labels.select("doc_id", "quality").where((fold_of("doc_id", 4) != 2) & F.col("quality").isNotNull())
+    return quality_nbsvm.fit(docs.select("doc_id", "text").join(known, "doc_id"), "doc_id", "text", "quality")
