@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, language_id, packing, quality_nbsvm, simhash_neardup, toxicity_fm
+from tillroll.llm import bpe, language_id, packing, quality_nbsvm, quality_rules, simhash_neardup, toxicity_fm
 from tillroll.llm.common import fold_of, table
 from tillroll.llm.shipping import ship_package
 
@@ -74,6 +74,20 @@ def op4_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals"]
+    ordered = quality_rules.plan_cascade(docs, quality_rules.RULES, "doc_id")
+    measured = quality_rules.measure(docs, names)
+    failed = quality_rules.cascade(measured, list(quality_rules.BASE_RULES), have=set(names))
+    passed = quality_rules.cascade(measured, ordered, have=set(names))
+    return measured.select(
+        "doc_id", *names[:5], (~failed).alias("base_failed"), (failed & passed).alias("kept")
+    )
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from two crc32 folds of three."""
