@@ -16,6 +16,14 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 
 
+def sql_text(text: str) -> str:
+    """A text as an SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    for sign, name in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\x0b", "\\u000b"), ("\x0c", "\\u000c")):
+        escaped = escaped.replace(sign, name)
+    return f"'{escaped}'"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import BLANKS, WORD_GAP
+from tillroll.llm.common import BLANKS, WORD_GAP, sql_text
 from tillroll.sources.workspace import land
 
 SYMBOLS = "#*$%&|<>"
@@ -26,17 +26,9 @@ SAMPLE_ROWS = 2000
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÀÂÇÈÉÊËÎÏÔÙÛÁÍÓÚÑ"
 
 
-def _sql(text: str) -> str:
-    """A string literal."""
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    for sign, name in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\x0b", "\\u000b"), ("\x0c", "\\u000c")):
-        escaped = escaped.replace(sign, name)
-    return f"'{escaped}'"
-
-
-_TRIMMED = f"btrim({{text}}, {_sql(BLANKS)})"
+_TRIMMED = f"btrim({{text}}, {sql_text(BLANKS)})"
 #: Words of a text (no words: an empty array).
-_WORDS = f"filter(split({_TRIMMED}, {_sql(WORD_GAP)}), w -> w != '')"
+_WORDS = f"filter(split({_TRIMMED}, {sql_text(WORD_GAP)}), w -> w != '')"
 #: 64-bit hashes of all windows of five words, in order.
 _WINDOWS = (
     f"CASE WHEN size({{words}}) < {WINDOW} THEN array() ELSE transform(sequence(0, size({{words}}) - {WINDOW}), "
@@ -60,16 +52,16 @@ END"""
 #: Each measure as SQL over {text}, {words} and {windows}.
 MEASURES = {
     "n_words": "cast(size({words}) AS bigint)",
-    "word_chars": f"cast(char_length(translate({{text}}, {_sql(BLANKS)}, '')) AS bigint)",
-    "n_symbols": f"cast(char_length({{text}}) - char_length(translate({{text}}, {_sql(SYMBOLS)}, '')) AS bigint)",
+    "word_chars": f"cast(char_length(translate({{text}}, {sql_text(BLANKS)}, '')) AS bigint)",
+    "n_symbols": f"cast(char_length({{text}}) - char_length(translate({{text}}, {sql_text(SYMBOLS)}, '')) AS bigint)",
     "n_lines": "cast(size({lines}) AS bigint)",
     "n_dup_lines": "cast(size({lines}) - size(array_distinct({lines})) AS bigint)",
     "n_repeat_words": _REPEATED,
-    "n_capitals": f"cast(char_length({{text}}) - char_length(translate({{text}}, {_sql(_CAPITALS)}, '')) AS bigint)",
+    "n_capitals": f"cast(char_length({{text}}) - char_length(translate({{text}}, {sql_text(_CAPITALS)}, '')) AS bigint)",
 }
 _PARTS = {
     "words": _WORDS,
-    "lines": f"filter(split({{text}}, '\\n'), l -> l rlike {_sql('[^' + WORD_GAP[1:-2] + ']')})",
+    "lines": f"filter(split({{text}}, '\\n'), l -> l rlike {sql_text('[^' + WORD_GAP[1:-2] + ']')})",
     "windows": _WINDOWS,
 }
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, language_id, packing, quality_nbsvm, quality_rules, simhash_neardup, toxicity_fm
+from tillroll.llm import bpe, language_id, line_dedup, packing, quality_nbsvm, quality_rules, simhash_neardup, toxicity_fm
 from tillroll.llm.common import fold_of, table
 from tillroll.llm.shipping import ship_package
 
@@ -98,6 +98,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+@_query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier line of the corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_lines = F.size(F.split("text", "\n")).cast("long")
+    before = docs.withColumn("n_lines", F.coalesce(n_lines, F.lit(0)))
+    after = line_dedup.drop_repeated_lines(before)
+    return after.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @_query
 def op8_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from labels of three crc32 folds of four."""
