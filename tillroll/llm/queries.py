@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, language_id, line_dedup, packing, quality_nbsvm, quality_rules, simhash_neardup, toxicity_fm
+from tillroll.llm import bpe, embedding_neardup, language_id, line_dedup, packing, quality_nbsvm, quality_rules, simhash_neardup, toxicity_fm
 from tillroll.llm.common import fold_of, table
 from tillroll.llm.shipping import ship_package
 
@@ -126,3 +126,9 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> quality_nbsvm.QualityMo
     """The quality model of the labelled rows outside fold 2 of 4."""
     known = labels.select("doc_id", "quality").where((fold_of("doc_id", 4) != 2) & F.col("quality").isNotNull())
     return quality_nbsvm.fit(docs.select("doc_id", "text").join(known, "doc_id"), "doc_id", "text", "quality")
+
+
+@_query
+def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, among vectors of its label."""
+    return embedding_neardup.near_vectors(table(spark, sf_dir, "embeddings"))
