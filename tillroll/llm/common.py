@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -150,3 +151,15 @@ def fit_sigmoid(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
         if size < 1e-6:
             break
     return float(slope), float(offset)
+
+
+def learn_in_task(sample: DataFrame, learn: Callable[[pa.Table], object]) -> object:
+    """What ``learn`` makes of a bounded sample, which is gathered in one task (sort it there: its order varies)."""
+    arrow = to_arrow_schema(sample.schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches), schema=arrow)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(rows))], pa.binary())], names=["model"])
+
+    found = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found[0]) if found else learn(arrow.empty_table())

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tillroll.llm.common import add_columns, bounded_by_class, keep_rows, texts_of
+from tillroll.llm.common import add_columns, bounded_by_class, keep_rows, learn_in_task, texts_of
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -131,7 +131,7 @@ def _windows(text: str, windows: int, words: int) -> list[str]:
     return [" ".join(parts[s : s + words]) for s in sorted(starts)]
 
 
-def training_windows(docs: DataFrame, key: str, text: str, label: str, per_language: int) -> pa.Table:
+def training_windows(docs: DataFrame, key: str, text: str, label: str, per_language: int) -> DataFrame:
     """(label, text): windows of a bounded sample of labelled rows."""
     rows = bounded_by_class(docs.where(F.col(text).isNotNull()), key, label, per_language)
     schema = StructType([StructField("label", StringType()), StructField("text", StringType())])
@@ -149,7 +149,7 @@ def training_windows(docs: DataFrame, key: str, text: str, label: str, per_langu
             )
 
     chosen = rows.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"))
-    return chosen.mapInArrow(cut, schema).toArrow()
+    return chosen.mapInArrow(cut, schema)
 
 
 def train(
@@ -226,8 +226,10 @@ def fit(
 
     Without any labelled row the model knows no language and answers UNKNOWN.
     """
-    sample = training_windows(docs, key, text, label, per_language)
-    return train(sample.column("text").to_pylist(), sample.column("label").to_pylist())
+    return learn_in_task(
+        training_windows(docs, key, text, label, per_language),
+        lambda got: train(got.column("text").to_pylist(), got.column("label").to_pylist()),
+    )
 
 
 def predict(

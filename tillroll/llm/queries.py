@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, embedding_neardup, language_id, line_dedup, packing, quality_nbsvm, quality_rules, simhash_neardup, toxicity_fm
+from tillroll.llm import (
+    bpe,
+    embedding_neardup,
+    html_extraction,
+    language_id,
+    line_dedup,
+    packing,
+    quality_nbsvm,
+    quality_rules,
+    simhash_neardup,
+    toxicity_fm,
+)
 from tillroll.llm.common import fold_of, table
 from tillroll.llm.shipping import ship_package
 
@@ -128,6 +139,14 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> quality_nbsvm.QualityMo
     return quality_nbsvm.fit(docs.select("doc_id", "text").join(known, "doc_id"), "doc_id", "text", "quality")
 
 
+@_query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html_extraction.extract(pages, html_extraction.fit(pages))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector, among vectors of its label."""
