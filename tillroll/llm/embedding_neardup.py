@@ -245,8 +245,9 @@ def _meet(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.nda
     part = turned[:, a:b]
     squares = (part**2).sum(axis=1)
     for at in range(0, n_home, 256):
-        some = part[at : at + 256]
-        near = squares[at : at + 256, None] + squares[None, at:] - 2 * (some @ part[at:].T)
+        end = min(at + 256, n_home)  # visitors do not meet each other here
+        some = part[at:end]
+        near = squares[at:end, None] + squares[None, at:] - 2 * (some @ part[at:].T)
         i, j = np.nonzero(near <= budgets[block] + 1e-6)
         i, j = i + at, j + at
         keep = i < j
