@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from tillroll.llm.common import add_columns, bounded_by_class, fit_sigmoid, keep_rows, sigmoid, texts_of
+from tillroll.llm.common import add_columns, bounded_by_class, fit_sigmoid, keep_rows, learn_in_task, sigmoid, texts_of
 
 ORDERS = (1, 2, 3)
 SHARES = (0.0, 1 / 16, 1 / 4)
@@ -150,15 +150,19 @@ def train(rows: list[np.ndarray], labels: np.ndarray, prior: float, c: float = 1
     return model
 
 
-def fit(labelled: DataFrame, key: str, text: str, label: str, per_label: int = ROWS_PER_LABEL) -> QualityModel:
-    """Train on at most about ``per_label`` rows of each label 0 and 1 of ``labelled``.
+def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int = ROWS_PER_LABEL) -> QualityModel:
+    """Train on at most about ``per_label`` rows of each label 0 and 1.
 
-    Indicators are taken from whole texts in tasks; the driver gets bucket
-    numbers of the sampled rows only.
+    ``labels`` holds ``key`` and ``label``; the sample is chosen there and its bound (twice
+    ``per_label``) lets it be broadcast, so that no text is shuffled.
+
+    Indicators are taken from whole texts; the bucket numbers of the sampled rows
+    meet in one task, which trains.
     """
-    known = labelled.where(F.col(label).isin(0, 1))
+    known = labels.select(key, label).where(F.col(label).isin(0, 1))
     prior = known.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    chosen = bounded_by_class(known, key, label, per_label).select(
+    sample = F.broadcast(bounded_by_class(known, key, label, per_label))
+    chosen = docs.select(key, text).join(sample, key).select(
         F.col(key).alias("k"), F.col(label).cast("int").alias("label"), F.col(text).alias("text")
     )
     schema = StructType(
@@ -172,12 +176,16 @@ def fit(labelled: DataFrame, key: str, text: str, label: str, per_label: int = R
                 [batch.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["label", "found"]
             )
 
-    got = chosen.mapInArrow(take, schema).toArrow()
-    rows = [x.values.to_numpy() if x.values is not None else np.zeros(0, np.int32) for x in got.column("found")]
-    labels = got.column("label").to_numpy()
-    # The order of the collected rows depends on timing: sort them.
-    order = sorted(range(len(rows)), key=lambda i: (int(labels[i]), rows[i].tobytes()))
-    return train([rows[i] for i in order], labels[order], float(prior) if prior is not None else 0.5)
+    share = float(prior) if prior is not None else 0.5
+
+    def learn(got: pa.Table) -> QualityModel:
+        lists = got.column("found").to_pylist()
+        labels = got.column("label").to_numpy().astype(np.int64)
+        rows = [np.array(x, np.int32) for x in lists]
+        order = sorted(range(len(rows)), key=lambda i: (int(labels[i]), rows[i].tobytes()))
+        return train([rows[i] for i in order], labels[order], share)
+
+    return learn_in_task(chosen.mapInArrow(take, schema), learn)
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", name: str = "score") -> DataFrame:

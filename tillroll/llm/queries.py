@@ -15,6 +15,7 @@ from tillroll.llm import (
     html_extraction,
     language_id,
     line_dedup,
+    oracles,
     packing,
     quality_nbsvm,
     quality_rules,
@@ -25,7 +26,7 @@ from tillroll.llm.common import fold_of, table
 from tillroll.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def _query(function: Callable[[SparkSession, str], DataFrame]):
@@ -136,7 +137,7 @@ def op8_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality_nbsvm.QualityModel:
     """The quality model of the labelled rows outside fold 2 of 4."""
     known = labels.select("doc_id", "quality").where((fold_of("doc_id", 4) != 2) & F.col("quality").isNotNull())
-    return quality_nbsvm.fit(docs.select("doc_id", "text").join(known, "doc_id"), "doc_id", "text", "quality")
+    return quality_nbsvm.fit(docs, known, "doc_id", "text", "quality")
 
 
 @_query
