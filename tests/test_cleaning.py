@@ -106,3 +106,18 @@ def test_cleaning_does_not_shuffle(spark):
 def test_types(spark):
     r = c.transform(raw(spark, row(ts="2010-12-01 08:26:00", qty="-3"))).collect()[0]
     assert r.invoice_date == dt.datetime(2010, 12, 1, 8, 26) and r.quantity == -3
+
+
+@pytest.mark.parametrize("text", ["12/1/2010 8:26", "2010-12-01 08:26:00", "12/1/2010 8:26:00"])
+def test_two_forms_of_dates(spark, text):
+    got = c.transform(raw(spark, row(ts=text))).collect()[0].invoice_date
+    assert got.isoformat() == "2010-12-01T08:26:00"
+
+
+def test_no_break_spaces_are_stripped(spark):
+    assert c.transform(raw(spark, row(land="\xa0France \xa0"))).collect()[0].country == "France"
+
+
+def test_a_fraction_of_a_customer_fails(spark):
+    with pytest.raises(Exception, match="fraction"):
+        c.transform(raw(spark, row(cust="3.7"))).collect()

@@ -192,3 +192,17 @@ def test_pages(spark, small):
 def test_money_stays_exact(spark):
     df = lines(spark, [(str(i), "A", 1, 1, "2010-01-01", "0.10", UK, "x") for i in range(1000)])
     assert one(m.executive_metrics(df)).gross_revenue == Decimal("100.00")
+
+
+def test_no_readable_number_is_lost(spark):
+    rows = [("1", "3000000000", "1.23456", "12/1/2010 8:26"), ("2", "2", "1e17", "2010-12-01"), ("3", "x", "y", "z")]
+    text = spark.createDataFrame(
+        [(int(i), f"i{i}", "A", "7", q, d, p, "UK", "thing") for i, q, p, d in rows],
+        "sale_id bigint, invoice_number string, stock_code string, customer_id string, quantity string,"
+        " invoice_date string, unit_price string, country_name string, product_name string",
+    )
+    a, b, c = sorted(m.clean_dashboard_fact(text).collect(), key=lambda r: r.sale_id)
+    assert a.quantity == 3_000_000_000 and float(a.unit_price) == 1.23456
+    assert float(a.line_revenue) == 3703680000.0 and a.invoice_date.day == 1
+    assert float(b.unit_price) == 1e17 and b.month.isoformat() == "2010-12-01"
+    assert c.quantity == 0 and c.unit_price == 0 and c.invoice_date is None

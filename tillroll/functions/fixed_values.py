@@ -69,3 +69,6 @@ READABLE_NAMES = {
     "country_name": "Country",
     "quantity_sold": "Quantity Sold",
 }
+
+# Forms of dates in source files besides ISO (month first).
+DATE_PATTERNS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy"]

@@ -11,6 +11,8 @@ from tillroll.functions import fixed_values as fixed
 _NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # A failed cast costs far more than a pattern, so text is looked at before it is cast.
 _WHOLE_PATTERN = r"^\s*[+-]?\d+\s*$"
+#: Prices read from text: up to 18 digits before the point and 8 behind it.
+PRICE_TYPE = "decimal(26,8)"
 
 
 def month_of(ts: Column) -> Column:
@@ -29,7 +31,14 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 
 
 def strip_whitespace(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    # U: white space of all scripts, no-break spaces too.
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def read_timestamp(text: Column) -> Column:
+    """A time without zone from ISO text or from a month-first date; null for other text."""
+    other = [F.try_to_timestamp(text, F.lit(p)).cast(T.TimestampNTZType()) for p in fixed.DATE_PATTERNS]
+    return F.coalesce(text.try_cast(T.TimestampNTZType()), *other)
 
 
 def lenient_double(df: DataFrame, name: str) -> Column:
@@ -59,9 +68,9 @@ def lenient_price(df: DataFrame, name: str) -> Column:
         return F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
         return F.when(
-            F.col(name).rlike(_NUMBER_PATTERN), F.trim(F.col(name)).try_cast("decimal(18,4)")
+            F.col(name).rlike(_NUMBER_PATTERN), F.trim(F.col(name)).try_cast(PRICE_TYPE)
         )
-    return lenient_double(df, name).try_cast("decimal(18,4)")
+    return lenient_double(df, name).try_cast(PRICE_TYPE)
 
 
 def is_operational(stock_code: Column, product_name: Column) -> Column:

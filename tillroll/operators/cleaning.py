@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.fixed_values import HEADER_ALIASES
-from tillroll.functions.scalars import lenient_bigint, strip_whitespace
+from tillroll.functions.scalars import lenient_bigint, lenient_double, read_timestamp, strip_whitespace
 from tillroll.sources.schemas import RAW_COLUMNS
 
 
@@ -46,18 +46,27 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 
 
 def coerce_customer_id(df: DataFrame) -> DataFrame:
-    """Ids as whole numbers; text that is no number makes a guest line."""
-    return df.withColumn("customer_id", lenient_bigint(df, "customer_id"))
+    """Ids as whole numbers; text that is no number makes a guest line, a fraction fails the job."""
+    number = lenient_double(df, "customer_id")
+    fraction = F.raise_error(F.lit("customer id has a fraction")).cast("bigint")
+    whole = F.when(number % 1 != 0, fraction).otherwise(lenient_bigint(df, "customer_id"))
+    return df.withColumn("customer_id", whole)
 
 
 def cast_types(df: DataFrame) -> DataFrame:
-    """Strict types: a quantity, price or date that cannot be read fails the job."""
+    """Strict types: a quantity, price or date that cannot be read fails the job.
+
+    Text dates are ISO or one of the month-first forms of ``DATE_PATTERNS``.
+    """
+    date = F.col("invoice_date")
+    if isinstance(df.schema["invoice_date"].dataType, T.StringType):
+        date = F.coalesce(read_timestamp(date), date.cast(T.TimestampNTZType()))
     no_quantity = F.raise_error(F.lit("quantity is null")).cast("int")
     return df.withColumns(
         {
             "quantity": F.coalesce(F.col("quantity").cast("int"), no_quantity),
             "unit_price": F.col("unit_price").cast("double"),
-            "invoice_date": F.col("invoice_date").cast(T.TimestampNTZType()),
+            "invoice_date": date.cast(T.TimestampNTZType()),
         }
     )
 

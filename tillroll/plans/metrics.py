@@ -15,9 +15,9 @@ from tillroll.functions.percentiles import exact_percentiles
 from tillroll.functions.scalars import (
     is_operational,
     lenient_bigint,
-    lenient_double,
     lenient_price,
     month_of,
+    read_timestamp,
     recency_bucket,
     risk_label,
     safe_divide,
@@ -30,12 +30,15 @@ _LINE_LABELS = ["country_name", "stock_code", "product_name"]
 def clean_dashboard_fact(df: DataFrame) -> DataFrame:
     """Lenient types and the reusable metric columns. Narrow: no shuffle."""
     if isinstance(df.schema["quantity"].dataType, T.IntegralType):
-        quantity = F.col("quantity").cast("int")
+        quantity = F.col("quantity").cast("bigint")
     else:
-        quantity = lenient_double(df, "quantity").try_cast("int")
+        quantity = lenient_bigint(df, "quantity")
+    date = F.col("invoice_date")
+    if isinstance(df.schema["invoice_date"].dataType, T.StringType):
+        date = read_timestamp(date)
     typed = df.withColumns(
         {
-            "invoice_date": F.col("invoice_date").try_cast(T.TimestampNTZType()),
+            "invoice_date": date.try_cast(T.TimestampNTZType()),
             "customer_id": lenient_bigint(df, "customer_id"),
             "quantity": F.coalesce(quantity, F.lit(0)),
             "unit_price": F.coalesce(lenient_price(df, "unit_price"), F.lit(0)),
@@ -249,8 +252,7 @@ def top_customers_by_ltv(df: DataFrame, n: int = 15) -> DataFrame:
     order = [F.desc("lifetime_value"), F.asc("customer_id")]
     best = customer_lifetime(df).orderBy(*order).limit(n)
     ids = best.select(F.col("customer_id").cast("bigint").alias("customer_id"))
-    # The broadcast side has n rows.
-    lines = df.join(F.broadcast(ids), "customer_id", "left_semi")
+    lines = df.join(ids, "customer_id", "left_semi")
     return _summarize_customers(lines, _newest_known(df)).orderBy(*order).limit(n)
 
 

@@ -84,9 +84,10 @@ def _model(name: str) -> Query:
 
 def _union_partitions(raw: DataFrame) -> DataFrame:
     start = F.lit(_PERIOD_START).cast("timestamp_ntz")
-    first = raw.where(F.col("invoice_date") < start)
-    # The second sheet has its columns in another order.
-    second = raw.where(F.col("invoice_date") >= start).select(*reversed(raw.columns))
+    early = F.coalesce(F.col("invoice_date") < start, F.lit(False))
+    first = raw.where(early)
+    # The second sheet has its columns in another order, and the lines without a date.
+    second = raw.where(~early).select(*reversed(raw.columns))
     return cleaning.union_partitions([first, second])
 
 
