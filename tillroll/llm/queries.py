@@ -76,7 +76,7 @@ def op4_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     known = labels.where((fold_of("doc_id", 5) != 0) & F.col("toxic").isNotNull())
-    model = toxicity_fm.fit(docs.join(known, "doc_id"), "doc_id", "text", "toxic")
+    model = toxicity_fm.fit(docs, known, "doc_id", "text", "toxic")
     scored = toxicity_fm.score(docs, model)
     return scored.select(
         "doc_id",

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from tillroll.llm.common import add_columns, bounded_by_class, fit_sigmoid, sigmoid, texts_of
+from tillroll.llm.common import add_columns, bounded_by_class, fit_sigmoid, learn_in_task, sigmoid, texts_of
 
 FACTORS = 4
 #: Training rows of each label at most, and terms kept for the model at most.
@@ -176,14 +176,18 @@ def train(
     return model
 
 
-def fit(labelled: DataFrame, key: str, text: str, label: str, per_label: int = ROWS_PER_LABEL) -> ToxicityModel:
-    """Train on at most about ``per_label`` rows of each label 0 and 1 of ``labelled``.
+def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int = ROWS_PER_LABEL) -> ToxicityModel:
+    """Train on at most about ``per_label`` rows of each label 0 and 1.
 
-    Terms are taken from whole texts in tasks; the driver gets the hashes of the
-    sampled rows' terms only.
+    ``labels`` holds ``key`` and ``label``; the sample is chosen there and its bound (twice
+    ``per_label``) lets it be broadcast, so that no text is shuffled.
+
+    Terms are taken from whole texts; the sampled rows' hashes meet in one task,
+    which trains.
     """
-    known = labelled.where(F.col(label).isin(0, 1))
-    chosen = bounded_by_class(known, key, label, per_label).select(
+    known = labels.select(key, label).where(F.col(label).isin(0, 1))
+    sample = F.broadcast(bounded_by_class(known, key, label, per_label))
+    chosen = docs.select(key, text).join(sample, key).select(
         F.col(key).alias("k"), F.col(label).cast("int").alias("label"), F.col(text).alias("text")
     )
     schema = StructType(
@@ -197,11 +201,14 @@ def fit(labelled: DataFrame, key: str, text: str, label: str, per_label: int = R
                 [batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["label", "found"]
             )
 
-    got = chosen.mapInArrow(take, schema).toArrow()
-    rows = [x.values.to_numpy() if x.values is not None else np.zeros(0, np.int64) for x in got.column("found")]
-    labels = got.column("label").to_numpy()
-    order = sorted(range(len(rows)), key=lambda i: (int(labels[i]), rows[i].tobytes()))
-    return train([rows[i] for i in order], labels[order])
+
+    def learn(got: pa.Table) -> ToxicityModel:
+        labels = got.column("label").to_numpy().astype(np.int64)
+        rows = [np.array(x, np.int64) for x in got.column("found").to_pylist()]
+        order = sorted(range(len(rows)), key=lambda i: (int(labels[i]), rows[i].tobytes()))
+        return train([rows[i] for i in order], labels[order])
+
+    return learn_in_task(chosen.mapInArrow(take, schema), learn)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
