@@ -42,3 +42,8 @@ def test_nulls_are_ignored_and_empty_is_null(spark):
     assert float(exact_percentiles(df, "v", {"m": "0.5"}).collect()[0].m) == 4.0
     empty = spark.createDataFrame([(None,)], "v bigint")
     assert exact_percentiles(empty, "v", {"m": "0.5"}).collect()[0].m is None
+
+
+def test_small_values_keep_their_digits(spark):
+    df = spark.sql("SELECT CAST(v AS DECIMAL(18,8)) AS v FROM VALUES (0.00001), (0.00002) AS t(v)")
+    assert float(exact_percentiles(df, "v", {"m": "0.5"}).first()["m"]) == 0.000015

@@ -104,3 +104,16 @@ def test_work_folder_is_below_the_configured_one(spark):
     for _ in range(2):
         workspace.landed_once(spark, "test-key", lambda p: calls.append(p))
     assert len(calls) == 1
+
+
+def test_work_folder_is_removed_with_its_tables(spark, tmp_path, monkeypatch):
+    from tillroll.sources import workspace
+
+    app, root, other = spark.sparkContext.applicationId, tmp_path / "own", tmp_path / "other"
+    other.mkdir()
+    monkeypatch.setattr(workspace, "_ROOTS", {app: str(root)})
+    monkeypatch.setattr(workspace, "_LANDED", {(app, "k"): ("p", None), ("another", "k"): ("p", None)})
+    assert workspace.land(spark.range(3), "numbers").count() == 3 and root.exists()
+    workspace.clean_work_folder(spark)
+    assert not root.exists() and other.exists()
+    assert workspace._ROOTS == {} and list(workspace._LANDED) == [("another", "k")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 # A cell number that never falls as the value grows. There are 512 cells per
 # factor e of the value, so neighbouring cells differ by 0.2 %, and a decimal of
@@ -19,10 +20,13 @@ def exact_percentiles(df: DataFrame, value: str, at: dict[str, str]) -> DataFram
 
     Equal values are counted before any shuffle; a histogram of a bounded
     number of cells then shows which cells hold the wanted ranks, and only the
-    distinct values of those cells are ranked.
+    distinct values of those cells are ranked. Values keep the column's scale, and
+    results have up to six digits more.
     """
+    kind = df.schema[value].dataType
+    scale = kind.scale if isinstance(kind, DecimalType) else 0
     counted = (
-        df.selectExpr(f"CAST({value} AS DECIMAL(38,4)) AS v")
+        df.selectExpr(f"CAST({value} AS DECIMAL(38,{scale})) AS v")
         .where("v IS NOT NULL")
         .groupBy("v")
         .agg(F.expr("count(*) AS n"))
@@ -70,5 +74,5 @@ def exact_percentiles(df: DataFrame, value: str, at: dict[str, str]) -> DataFram
         "max(CASE WHEN name = '{0}' AND side = 'ceil' THEN v END)",
         "max(CASE WHEN name = '{0}' THEN weight END)",
     )
-    between = f"CAST({low} + CAST({high} - {low} AS DECIMAL(27,4)) * {weight} AS DECIMAL(38,6))"
+    between = f"CAST({low} + CAST({high} - {low} AS DECIMAL(27,{scale})) * {weight} AS DECIMAL(38,{scale + 6}))"
     return hits.agg(*[F.expr(f"{between.format(name)} AS {name}") for name in at])

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.sources.workspace import land
+from tillroll.plans.layers import Layers
 
 
 @dataclass(frozen=True)
@@ -69,8 +69,8 @@ def _refers(model: str, column: str, parent: str) -> Check:
 
 _TRUE_FALSE = (True, False)
 
-# Models with this many key columns are written before they are checked.
-_KEYS_TO_STORE = 3
+# Models that several checks or several other models read.
+SHARED_MODELS = ("int_sales_enriched", "int_order_metrics", "int_customer_orders")
 
 SUITE: list[Check] = [
     *_checks(
@@ -161,22 +161,23 @@ def _key_checks(
 
 
 def run_quality_suite(
-    layers: Mapping[str, DataFrame], suite: list[Check] | None = None
+    layers: Layers, suite: list[Check] | None = None, store: Sequence[str] = SHARED_MODELS
 ) -> DataFrame:
     """All checks as rows: model, column_name, check_name, failures, passed.
 
-    A model is read once for its row checks and once per key column. One that is
-    read often is written first, so that its joins run once.
+    A model is read once for its row checks and once per key column. The models
+    named in ``store`` are written when the suite is called, so that they are
+    built once, and the models above them read what was written; pass an empty
+    ``store`` for a plan that runs nothing before its action.
     """
     suite = SUITE if suite is None else suite
+    layers = layers.stored(*store)
     results = []
     for model in dict.fromkeys(c.model for c in suite):
         mine = [c for c in suite if c.model == model]
         keys = list(dict.fromkeys(c.column for c in mine if c.kind in ("unique", "relationships")))
         by_line = [c for c in mine if c.column not in keys or c.kind == "accepted_values"]
         df = layers[model].select(*dict.fromkeys(c.column for c in mine))
-        if len(keys) >= _KEYS_TO_STORE:
-            df = land(df, f"checked-{model}")
         if by_line:
             results.append(_line_checks(model, df, by_line))
         for column in keys:

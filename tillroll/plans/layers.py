@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans import models
 from tillroll.sources.schemas import MART_SCHEMAS
+from tillroll.sources.workspace import land
 
 MARTS = list(MART_SCHEMAS)
 
@@ -36,6 +37,13 @@ class Layers:
             raise KeyError(name)
         return getattr(self, name)
 
+    def stored(self, *names: str) -> Layers:
+        """The same models with the named ones written once; models built on them read what was written."""
+        layers = Layers(self._star)
+        for name in sorted(names, key=MODELS.index):
+            layers.__dict__[name] = land(layers[name], name)
+        return layers
+
     @cached_property
     def stg_sales(self) -> DataFrame:
         return models.stg_sales(self._star["fact_sales"])

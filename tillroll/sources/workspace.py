@@ -76,3 +76,19 @@ def landed_table(spark: SparkSession, key: str, build: Callable[[], DataFrame])
 
     path, schema = landed_once(spark, key, write)
     return spark.read.schema(schema).parquet(path)
+
+
+def clean_work_folder(spark: SparkSession) -> None:
+    """Delete this application's own work folder, with every table landed in it.
+
+    Call it when no result that reads landed tables is needed any more. Other
+    folders below the shared one are never touched.
+    """
+    app = spark.sparkContext.applicationId
+    with _LOCK:
+        root = _ROOTS.pop(app, None)
+        for key in [k for k in _LANDED if k[0] == app]:
+            del _LANDED[key]
+    if root:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
