@@ -380,6 +380,7 @@ QUERIES: dict[str, Query] = {
         lambda df: pages.format_customer_table(pages.customer_table(df))
     ),
     "top_products": _on_dashboard(lambda df: pages.top_products(df, mode="net")),
+    "top_products_gross": _on_dashboard(lambda df: pages.top_products(df, mode="gross")),
     "return_risk_matrix": _on_dashboard(pages.return_risk_matrix),
     "product_audit_table": _on_dashboard(pages.product_audit_table),
     "format_product_table": _on_dashboard(
@@ -410,6 +411,9 @@ QUERIES: dict[str, Query] = {
     "top10_countries": _report(semantic.top10_countries, "stg_sales", "stg_countries"),
     "top20_customers": _report(semantic.top20_customers, "stg_sales"),
     "cohort_retention": _report(semantic.cohort_retention, "stg_sales"),
+    "cohort_matrix": _report(
+        lambda sales: semantic.cohort_matrix(semantic.cohort_retention(sales), 12), "stg_sales"
+    ),
     "new_vs_returning": _report(semantic.new_vs_returning, "stg_sales"),
     "top20_products_revenue": _report(semantic.top20_products_revenue, "stg_sales", "stg_products"),
     "top20_products_quantity": _report(
