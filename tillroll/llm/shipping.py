@@ -1,36 +1,21 @@
-"""Give the executors' Python workers this package.
-
-A query may be started from any folder; the package then travels with the
-application as one small archive, as ``--py-files`` would send it.
-"""
+"""Let Python workers find this package."""
 
 from __future__ import annotations
 
 import os
-import tempfile
-import threading
-import zipfile
 
 from pyspark.sql import SparkSession
 
-_LOCK = threading.Lock()
-_SENT: set[str] = set()
-
 
 def ship_package(spark: SparkSession) -> None:
-    """Send ``tillroll`` to the executors, once for each application."""
-    app = spark.sparkContext.applicationId
-    with _LOCK:
-        if app in _SENT:
-            return
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        top = os.path.dirname(package)
-        archive = os.path.join(tempfile.mkdtemp(prefix="tillroll-code-"), "tillroll_code.zip")
-        with zipfile.ZipFile(archive, "w") as out:
-            for folder, _, files in os.walk(package):
-                for name in files:
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        out.write(path, os.path.relpath(path, top))
-        spark.sparkContext.addPyFile(archive)
-        _SENT.add(app)
+    """Add the folder of ``tillroll`` to the Python path of workers started from now on.
+
+    That serves sessions whose executors see the driver's folders, whichever
+    folder the program was started from. On other clusters send the package with
+    ``--py-files`` or install it; the added path then does no harm.
+    """
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if top not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([top, *paths])
