@@ -38,6 +38,8 @@ HEADLINE = [
     # semantic layer and checks
     "measures_fact", "cohort_retention", "new_vs_returning", "product_return_rate",
     "country_contribution", "run_quality_suite",
+    # pages, sinks
+    "page_view", "write_star", "export_bi_extracts",
 ]
 
 
