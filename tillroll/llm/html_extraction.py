@@ -89,7 +89,9 @@ def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
         places += np.repeat(np.arange(len(blocks)) * 2 * WORD_SIZE, sizes)
         counts = np.bincount(places, minlength=len(blocks) * 2 * WORD_SIZE).reshape(len(blocks), 2, WORD_SIZE)
         out[:, :PATH_SIZE] = [_path_vector(b.path) for b in blocks]
-        out[:, PATH_SIZE : PATH_SIZE + WORD_SIZE] = 2 * (counts[:, 0] - counts[:, 1]) / sizes[:, None]
+        means = (counts[:, 0] - counts[:, 1]) / sizes[:, None]
+        # A block of one repeated word weighs no more than others.
+        out[:, PATH_SIZE : PATH_SIZE + WORD_SIZE] = np.clip(2 * means, -0.5, 0.5)
         out[:, -5] = np.log1p([len(b.text) for b in blocks]) / 8
         out[:, -4] = [b.link_share for b in blocks]
         out[:, -3] = [b.text[-1] in _ENDS for b in blocks]
@@ -332,10 +334,16 @@ def _dress(main: list[str], other: list[str], rng: np.random.Generator) -> tuple
     for text in main:
         if inside_shell and rng.random() < 0.12:
             around(pick(("ad", "side", "notice", "form")), shell)
-        if rng.random() < 0.15:  # short paragraphs are main text too
+        # Short, repeated and odd paragraphs are main text too: the path should tell, not the words.
+        chance, again = rng.random(), 1
+        if chance < 0.2:
+            text = pick(other or main)
+        elif chance < 0.35:
             text = " ".join(text.split()[: int(rng.integers(1, 5))])
-        blocks.append(Block(("html", "body", *shell, *pick(_INNER)), text))
-        labels.append(1)
+            again = int(rng.integers(1, 12)) if rng.random() < 0.3 else 1
+        path = ("html", "body", *shell, *pick(_INNER))
+        blocks += [Block(path, text)] * again
+        labels += [1] * again
     if inside_shell and rng.random() < 0.4:
         around("comment", shell)
     for kind in ("side", "ad", "form", "comment", "notice", "nav", "footer"):
