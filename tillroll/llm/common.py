@@ -52,7 +52,7 @@ def add_columns(
     keep = [f.name for f in kept]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             fresh = compute(batch.select(reads))
             columns = [batch.column(n) for n in keep]
             columns += [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in fresh]
@@ -63,6 +63,13 @@ def add_columns(
     return df.mapInArrow(run, schema)
 
 
+def _slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches in runs of rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _as(column, kind: pa.DataType):
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -75,7 +82,7 @@ def keep_rows(df: DataFrame, reads: list[str], wanted: Callable[[pa.RecordBatch]
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             mask = pa.array(wanted(batch.select(reads)), pa.bool_())
             rows = batch.filter(mask)
             yield pa.RecordBatch.from_arrays(

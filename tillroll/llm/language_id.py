@@ -33,7 +33,7 @@ DIMENSIONS = 16
 ROWS_PER_LANGUAGE = 1500
 WINDOWS = 4
 WINDOW_WORDS = 16
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 18
 
 
 def _letters() -> np.ndarray:

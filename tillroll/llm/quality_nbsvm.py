@@ -26,7 +26,7 @@ SHARES = (0.0, 1 / 16, 1 / 4)
 BUCKETS = 1 << 18
 #: Training rows of each label at most; rows on which the sigmoid is fitted are a fifth of them.
 ROWS_PER_LABEL = 6000
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 250_000
 PASS_SCORE = 0.7
 
 
