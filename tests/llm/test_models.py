@@ -60,6 +60,23 @@ def _fit_all_terms(rows, labels, terms):
         toxicity_fm._telling_terms = telling
 
 
+def test_toxicity_keeps_the_share_of_labels(spark):
+    """A bound that cuts one label more than the other does not move the scores."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for key in range(12_000):
+        toxic = int(rng.random() < 0.1)
+        signs = [f"sign{i}" for i in range(8) if rng.random() < (0.4 if toxic else 0.2)]
+        rows.append((key, " ".join([*signs, *(f"plain{i}" for i in rng.integers(0, 30, 6))]), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    found = {}
+    for per_label in (1000, 20_000):
+        model = toxicity_fm.fit(docs, docs.select("doc_id", "y"), "doc_id", "text", "y", per_label)
+        found[per_label] = model.scores([r[1] for r in rows])
+    assert abs(found[1000].mean() - found[20_000].mean()) < 0.04
+    assert abs((found[1000] >= 0.5).mean() - (found[20_000] >= 0.5).mean()) < 0.04
+
+
 def test_edge_rows_and_no_labels(spark):
     docs, labels = edge_docs(spark), spark.createDataFrame([], "doc_id long, y int")
     for module in (quality_nbsvm, toxicity_fm):

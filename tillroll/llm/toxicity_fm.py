@@ -122,6 +122,7 @@ def _telling_terms(rows: list[np.ndarray], labels: np.ndarray, most: int) -> np.
 def train(
     rows: list[np.ndarray],
     labels: np.ndarray,
+    shift: float = 0.0,
     epochs: int = 8,
     batch: int = 64,
     rate: float = 0.15,
@@ -130,6 +131,8 @@ def train(
 ) -> ToxicityModel:
     """Fit on four fifths of the rows of hashed terms; the sigmoid is fitted on the rest.
 
+    ``shift`` is added to the sigmoid's offset: the log odds of label 1 among all labelled
+    rows less those in the sample, which may hold the labels in other shares.
     With one label only, every score is near that label.
     """
     labels = np.asarray(labels, np.int64)
@@ -173,9 +176,17 @@ def train(
     check = held if len(set(labels[held].tolist())) == 2 else shuffled
     logits = [base + weights[places[i]].sum() + _pairs(factors[places[i]]) for i in check]
     model.slope, model.offset = fit_sigmoid(np.array(logits), labels[check])
+    model.offset += shift
     return model
 
 
+def _log_odds(known: DataFrame, label: str) -> float | None:
+    """Log odds of label 1 over all rows of a table of labels; none if a label is missing."""
+    is_one = F.col(label).cast("int")
+    ones, zeros = known.agg(F.sum(is_one), F.sum(1 - is_one)).first()
+    return float(np.log(ones / zeros)) if ones and zeros else None
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int = ROWS_PER_LABEL) -> ToxicityModel:
     """Train on at most about ``per_label`` rows of each label 0 and 1.
 
@@ -183,11 +194,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per
     ``per_label``) lets it be broadcast, so that no text is shuffled.
 
     Terms are taken from whole texts; the sampled rows' hashes meet in one task,
-    which trains.
+    which trains. Scores follow the labels' shares among all labelled rows, whatever
+    shares the sample holds.
     """
     known = labels.select(key, label).where(F.col(label).isin(0, 1))
-    sample = F.broadcast(bounded_by_class(known, key, label, per_label))
-    chosen = docs.select(key, text).join(sample, key).select(
+    sample = bounded_by_class(known, key, label, per_label)
+    everywhere, sampled = _log_odds(known, label), _log_odds(sample, label)
+    shift = 0.0 if everywhere is None or sampled is None else everywhere - sampled
+    chosen = docs.select(key, text).join(F.broadcast(sample), key).select(
         F.col(key).alias("k"), F.col(label).cast("int").alias("label"), F.col(text).alias("text")
     )
     schema = StructType(
@@ -206,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per
         labels = got.column("label").to_numpy().astype(np.int64)
         rows = [np.array(x, np.int64) for x in got.column("found").to_pylist()]
         order = sorted(range(len(rows)), key=lambda i: (int(labels[i]), rows[i].tobytes()))
-        return train([rows[i] for i in order], labels[order])
+        return train([rows[i] for i in order], labels[order], shift)
 
     return learn_in_task(chosen.mapInArrow(take, schema), learn)
 
