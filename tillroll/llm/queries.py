@@ -11,6 +11,8 @@ import public_tokenizers
 
 from tillroll.llm import (
     bpe,
+    byte_bpe,
+    collocations,
     embedding_neardup,
     html_extraction,
     language_id,
@@ -19,6 +21,7 @@ from tillroll.llm import (
     packing,
     quality_nbsvm,
     quality_rules,
+    shallot,
     simhash_neardup,
     toxicity_fm,
 )
@@ -152,3 +155,40 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector, among vectors of its label."""
     return embedding_neardup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertias of every vector of 64 finite components."""
+    found = shallot.shallot_clusters(table(spark, sf_dir, "embeddings"))
+    of_cluster = F.col("cluster") + 1
+    inertias = F.array(*[F.lit(i).cast("long") for i in found.inertias]).cast("array<bigint>")
+    digests = F.array(*map(F.lit, found.digests())).cast("array<string>")
+    return found.vectors.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        F.try_element_at(inertias, of_cluster).alias("cluster_inertia"),
+        F.lit(found.inertia).cast("long").alias("inertia"),
+        F.try_element_at(digests, of_cluster).alias("centroid_sha256"),
+    )
+
+
+@_query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids by ranks and of the bytes decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.round_trip(docs, ranks, packed=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of two or three words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
