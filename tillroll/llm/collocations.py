@@ -35,7 +35,7 @@ LONGEST = 3
 TOP = 2000
 #: Ranked words and ranked phrases of each further length: what tasks are sent of them.
 WORDS = 1 << 16
-UNITS = 1 << 18
+UNITS = 1 << 16
 #: Bits of the bitmaps of frequent words and phrases, and of the table that finds a phrase's rank.
 BITS = 26
 SLOTS = 20
@@ -43,10 +43,12 @@ SLOTS = 20
 TILE = 10
 DENSE_TILES = 16
 DENSE_FROM = 1 << 15
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 #: Rows of a sorted list at which it goes to Spark, and different words of a task.
 LIST_ROWS = 1 << 21
 TASK_WORDS = 400_000
+#: Parts of a language's phrases that are ranked apart first.
+PARTS = 16
 
 # A-Z become small, signs that end a piece become 0xFF (never in UTF-8), and the tabulator a blank.
 _TABLE = bytes.maketrans(
@@ -111,7 +113,8 @@ class TileCounts:
         self._dense: dict[int, np.ndarray] = {}
         self._buffer: list[np.ndarray] = []
         self._waiting = 0
-        self._codes, self._counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._lists: list[tuple[np.ndarray, np.ndarray]] = []
+        self.rows = 0
 
     def add(self, units: np.ndarray, words: np.ndarray) -> None:
         self._buffer.append(units * self._words + words)
@@ -138,18 +141,24 @@ class TileCounts:
             if mine.any():
                 cells_of += np.bincount(cells[mine], minlength=len(cells_of))
                 rest &= ~mine
-        more, n = _summed(codes[rest])
-        self._codes, self._counts = _summed(np.r_[self._codes, more], np.r_[self._counts, n])
+        self._lists.append(_summed(codes[rest]))
+        self.rows += len(self._lists[-1][0])
+        if self.rows >= 2 * LIST_ROWS:
+            self._merge()
 
-    @property
-    def rows(self) -> int:
-        return len(self._codes)
+    def _merge(self) -> None:
+        codes, counts = (np.concatenate(x) for x in zip(*self._lists))
+        self._lists = [_summed(codes, counts)]
+        self.rows = len(self._lists[0][0])
 
     def take(self, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(units, words, counts): the list's, and at the end those of the dense tiles."""
         if last:
             self._count()
-        codes, counts = [self._codes], [self._counts]
+        empty = np.zeros(0, np.int64)
+        if self._lists:
+            self._merge()
+        codes, counts = [list(x) for x in zip(*self._lists)] or ([empty], [empty])
         if last:
             for tile, cells in self._dense.items():
                 at = np.flatnonzero(cells)
@@ -158,7 +167,7 @@ class TileCounts:
                 codes.append(unit * self._words + word)
                 counts.append(cells[at])
             self._dense = {}
-        self._codes, self._counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._lists, self.rows = [], 0
         units, words = np.divmod(np.concatenate(codes), self._words)
         return units, words, np.concatenate(counts)
 
@@ -208,12 +217,15 @@ class Frequent:
     """What tasks know of the frequent phrases of one length; its size is fixed by the parameters.
 
     ``ranked`` holds the words of the ranked ones, column by column; ``slots`` finds a
-    rank by the phrase's hash (the better rank where two share a slot); ``bits`` has a
-    bit for the hash of every frequent one.
+    rank by the phrase's hash, ``crowded`` those whose slot a better rank took; ``bits``
+    has a bit for the hash of every frequent one. Of ranked phrases with one 64-bit hash
+    only one is found; ``count_words`` makes sure that words never share theirs.
     """
 
     ranked: list[np.ndarray]
     slots: np.ndarray
+    crowded: np.ndarray
+    crowded_hashes: np.ndarray
     bits: np.ndarray
 
     @staticmethod
@@ -222,7 +234,10 @@ class Frequent:
         places = (_mixed(ranked) & np.uint64((1 << SLOTS) - 1)).astype(np.int64)
         backwards = np.arange(len(places))[::-1]
         slots[places[backwards]] = backwards
-        return Frequent(ranked, slots, bits)
+        crowded = np.flatnonzero(slots[places] != np.arange(len(places)))
+        hashes = _mixed(ranked)[crowded]
+        order = np.argsort(hashes, kind="stable")
+        return Frequent(ranked, slots, crowded[order], hashes[order], bits)
 
     def may_be(self, hashes: np.ndarray) -> np.ndarray:
         """Whether each phrase may be frequent; false only for those that are not."""
@@ -237,31 +252,46 @@ class Frequent:
         same = rank >= 0
         for known, column in zip(self.ranked, columns):
             same &= known[rank] == column
-        return np.where(same, rank, -1)
+        rank = np.where(same, rank, -1)
+        # Those whose slot went to a better rank.
+        other = np.flatnonzero(~same)
+        if len(self.crowded) and len(other):
+            at = np.searchsorted(self.crowded_hashes, hashes[other])
+            at = np.minimum(at, len(self.crowded) - 1)
+            found = self.crowded[at]
+            same = self.crowded_hashes[at] == hashes[other]
+            for known, column in zip(self.ranked, columns):
+                same &= known[found] == column[other]
+            rank[other[same]] = found[same]
+        return rank
 
 
 def _bit_place(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-class _Numbers(dict):
-    """A language's words as numbers: rank, or -2 - hash for a word that may be frequent, or -1."""
+class _Numbers:
+    """A language's words as numbers: rank, or -2 - hash for a word that may be frequent, or -1.
 
-    def __init__(self, lang: str, seed: int, ranks: dict[int, int], words: Frequent):
-        super().__init__({_END: _NO_WORD})
-        self._lang, self._seed, self._ranks, self._words = lang, seed, ranks, words
+    New words of a run of texts are looked up together, as arrays.
+    """
 
-    def __missing__(self, word: bytes) -> int:
-        key = _key(self._seed, self._lang, word)
-        found = self._ranks.get(key)
-        if found is None:
-            hashes = _mixed([np.array([key], np.int64)])
-            found = -2 - key if self._words.may_be(hashes)[0] else _NO_WORD
-        if len(self) >= TASK_WORDS:
-            self.clear()
-            self[_END] = _NO_WORD
-        self[word] = found
-        return found
+    def __init__(self, lang: str, seed: int, words: Frequent):
+        self._lang, self._seed, self._words = lang, seed, words
+        self._known: dict[bytes, int] = {_END: _NO_WORD}
+
+    def of(self, found: list[bytes]) -> np.ndarray:
+        fresh = list(set(found).difference(self._known))
+        if fresh:
+            if len(self._known) + len(fresh) > TASK_WORDS:
+                self._known = {_END: _NO_WORD}
+                fresh = list(set(found).difference(self._known))
+            keys = np.array([_key(self._seed, self._lang, w) for w in fresh], np.int64)
+            hashes = _mixed([keys])
+            rank = self._words.ranks(hashes, [keys])
+            numbers = np.where(rank >= 0, rank, np.where(self._words.may_be(hashes), -2 - keys, _NO_WORD))
+            self._known.update(zip(fresh, numbers.tolist()))
+        return np.fromiter(map(self._known.__getitem__, found), np.int64, len(found))
 
 
 def _word_rows(docs: DataFrame, seed: int) -> DataFrame:
@@ -333,7 +363,6 @@ def _phrase_counts(docs: DataFrame, length: int, seed: int, known: list, words:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single, units = known[0].value, known[-1].value
-        ranks = {key: rank for rank, key in enumerate(single.ranked[0].tolist())}
         numbers: dict[str, _Numbers] = {}
         tiles, tuples = TileCounts(words), TupleCounts(length)
 
@@ -344,10 +373,9 @@ def _phrase_counts(docs: DataFrame, length: int, seed: int, known: list, words:
 
         for batch in batches:
             for lang, found in _by_lang(batch):
-                of = numbers.get(lang)
-                if of is None:
-                    of = numbers[lang] = _Numbers(lang, seed, ranks, single)
-                x = np.fromiter(map(of.__getitem__, found), np.int64, len(found))
+                if lang not in numbers:
+                    numbers[lang] = _Numbers(lang, seed, single)
+                x = numbers[lang].of(found)
                 if len(x) < length:
                     continue
                 columns = [x[i : len(x) - length + 1 + i] for i in range(length)]
@@ -470,8 +498,13 @@ def collocations(
     for s in scored[1:]:
         every = every.unionByName(s)
     every = land(every, "collocations")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # The best of each part of a language first, so that one task ranks PARTS * top phrases at most.
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    part = F.pmod(F.hash("phrase"), F.lit(PARTS))
+    parts = Window.partitionBy("lang", "part").orderBy(*order)
+    best = every.withColumn("part", part).withColumn("place", F.row_number().over(parts)).where(F.col("place") <= top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    best = best.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= top)
     sizes = all_words.groupBy("lang").agg(F.sum("n").alias("n"))
     return best.join(sizes, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
