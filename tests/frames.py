@@ -43,3 +43,24 @@ def one(df):
     rows = df.collect()
     assert len(rows) == 1
     return rows[0]
+
+
+def fact(spark, *rows):
+    data = [
+        (i, inv, code, cust, land, qty, day(ts) if ts else None, Decimal(price) if price else None, flag)
+        for i, (inv, code, cust, land, qty, ts, price, flag) in enumerate(rows, 1)
+    ]
+    return spark.createDataFrame(data, FACT)
+
+
+def dims(spark):
+    return {
+        "dim_country": spark.createDataFrame(
+            [(1, "United Kingdom"), (2, "EIRE")], "country_id int, country_name string"
+        ),
+        "dim_customer": spark.createDataFrame([(7,), (8,)], "customer_id bigint"),
+        "dim_product": spark.createDataFrame(
+            [("A", "apple", Decimal("1.00"))],
+            "stock_code string, description string, unit_price_reference decimal(10,2)",
+        ),
+    }

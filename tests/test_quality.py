@@ -1,9 +1,9 @@
 from decimal import Decimal
 
-from frames import one
-from test_models import dims, fact
+from frames import dims, fact, one
 from tillroll.operators import quality as q
-from tillroll.plans.layers import Layers
+from tillroll.plans.layers import MODELS, Layers
+from test_plans import plan
 
 
 def test_each_check_finds_a_seeded_row(spark):
@@ -52,3 +52,21 @@ def test_suite_has_41_checks_and_finds_bad_star_rows(spark):
     assert failed[("mart_country_revenue", "country_name", "not_null")] == 1
     assert failed[("mart_sales_monthly", "month", "not_null")] == 1
     assert ("stg_sales", "is_return", "accepted_values") not in failed
+
+
+def test_suite_reads_each_model_once_and_shuffles_keys_once(spark, small):
+    from tillroll.testbed import tables
+
+    layers = Layers(tables.star(spark, small)).stored(*MODELS)
+    text = plan(q.run_quality_suite(layers, store=()))
+    assert text.count("FileScan") == len({c.model for c in q.SUITE} | {c.parent for c in q.SUITE if c.parent})
+    assert text.count("Exchange hashpartitioning(item") == 2 and "SortMergeJoin" not in text
+
+
+def test_observed_and_planned_checks_agree(spark):
+    f = fact(spark, ("1", "A", 7, 1, 1, "2010-01-01", "5", False), (None, "B", 9, 3, 1, None, None, False))
+    layers = Layers({"fact_sales": f, **dims(spark)})
+    found = [sorted(map(tuple, q.run_quality_suite(layers, store=s).collect())) for s in ((), q.SHARED_MODELS, MODELS)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 41
+    some = [c for c in q.SUITE if c.model == "mart_executive_kpis"]
+    assert q.run_quality_suite(layers, some).count() == 2

@@ -3,8 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from frames import one
-from test_models import dims, fact
+from frames import dims, fact, one
 from tillroll.plans import models as m
 from tillroll.plans import semantic as s
 from tillroll.plans.layers import Layers

@@ -1,7 +1,8 @@
 import pytest
 
-from frames import day, one
-from test_models import dims, fact
+from pyspark.sql import functions as F
+
+from frames import day, dims, fact, one
 from tillroll.operators.cleaning import transform
 from tillroll.plans.analytics import build_extracts
 from tillroll.plans.layers import MARTS, register_layers
@@ -117,3 +118,48 @@ def test_work_folder_is_removed_with_its_tables(spark, tmp_path, monkeypatch):
     workspace.clean_work_folder(spark)
     assert not root.exists() and other.exists()
     assert workspace._ROOTS == {} and list(workspace._LANDED) == [("another", "k")]
+
+
+def test_failed_refresh_leaves_the_old_star(spark, tmp_path):
+    import pytest
+
+    from tillroll.sources import versions
+
+    folder = str(tmp_path / "star")
+    old = make_star(spark)
+    writers.write_star(old, folder)
+    broken = {**old, "fact_sales": old["fact_sales"].withColumn("quantity", F.raise_error(F.lit("lost")).cast("int"))}
+    with pytest.raises(Exception, match="lost"):
+        writers.write_star(broken, folder)
+    assert len(versions.published_versions(spark, folder)) == 1
+    assert readers.load_star(spark, folder, views=False)["fact_sales"].count() == old["fact_sales"].count()
+    new = {**old, "fact_sales": old["fact_sales"].limit(1)}
+    reading = readers.load_star(spark, folder, views=False)["fact_sales"]
+    writers.write_star(new, folder)
+    assert readers.load_star(spark, folder, views=False)["fact_sales"].count() == 1
+    assert reading.count() == old["fact_sales"].count()  # the version before stays for its readers
+    writers.write_star(old, folder)
+    assert len(versions.published_versions(spark, folder)) == 2
+
+
+def test_star_is_not_written_over_its_own_input(spark, tmp_path):
+    import pytest
+
+    folder = str(tmp_path / "star")
+    writers.write_star(make_star(spark), folder)
+    own = readers.load_star(spark, folder, views=False)
+    with pytest.raises(ValueError, match="is read from"):
+        writers.write_star(own, folder)
+    writers.write_star(own, str(tmp_path / "star-of-another-name"))
+    with pytest.raises(FileNotFoundError):
+        readers.load_star(spark, str(tmp_path / "nothing"), views=False)
+
+
+def test_long_form(spark):
+    from tillroll.sources.longform import long_form
+
+    df = spark.createDataFrame([(1, "a", True, day("2010-01-01")), (None, None, None, None)], "k int, `odd name` string, f boolean, d timestamp_ntz")
+    rows = {tuple(r) for r in long_form({"t": df, "u": df.select("k")}, {"t": ["k", "odd name"]}).collect()}
+    assert ("t", "1|a", "odd name", "a", None, None) in rows and ("t", "1|a", "f", None, 1.0, None) in rows
+    assert ("t", "1|a", "d", None, None, day("2010-01-01")) in rows and ("t", "", "f", None, None, None) in rows
+    assert ("u", "", "k", None, 1.0, None) in rows and len(rows) == 10

@@ -72,3 +72,6 @@ READABLE_NAMES = {
 
 # Forms of dates in source files besides ISO (month first).
 DATE_PATTERNS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy"]
+
+# Shown where no country needs a manual mapping.
+NO_EXCEPTIONS = "No known mapping exceptions in selected filters"

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillroll.plans.layers import Layers
+from tillroll.plans.layers import MODELS, Layers
+from tillroll.sources.workspace import land
 
 
 @dataclass(frozen=True)
@@ -69,8 +70,8 @@ def _refers(model: str, column: str, parent: str) -> Check:
 
 _TRUE_FALSE = (True, False)
 
-# Models that several checks or several other models read.
-SHARED_MODELS = ("int_sales_enriched", "int_order_metrics", "int_customer_orders")
+# Models that several other models read.
+SHARED_MODELS = ("int_order_metrics", "int_customer_orders")
 
 SUITE: list[Check] = [
     *_checks(
@@ -105,59 +106,66 @@ SUITE: list[Check] = [
 ]
 
 
-def _as_rows(model: str, counted: DataFrame, checks: list[Check]) -> DataFrame:
-    """One row per check from one row with the failures in columns c0, c1, ..."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.kind).alias("check_name"),
-                F.col(f"c{i}").alias("failures"),
-            )
-            for i, c in enumerate(checks)
-        ]
-    )
-    return counted.select(F.lit(model).alias("model"), F.inline(rows))
-
-
-def _line_checks(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Checks that look at one row at a time, as one aggregate over the model."""
-    counted = df.agg(
-        *[
-            (
-                _not_null_failures(c.column)
-                if c.kind == "not_null"
-                else _outside_failures(c.column, c.values)
-            ).alias(f"c{i}")
-            for i, c in enumerate(checks)
-        ]
-    )
-    return _as_rows(model, counted, checks)
+_KEY_KINDS = ("unique", "relationships")
+
+
+def _row_failures(check: Check) -> Column:
+    """Failures of a check that looks at one row at a time."""
+    if check.kind == "not_null":
+        return _not_null_failures(check.column)
+    return _outside_failures(check.column, check.values)
+
+
+def _observed(layers: Layers, names: Sequence[str], row_checks: dict[str, list[int]], suite: list[Check]):
+    """The layers with some models written once, and the failures that the writes counted."""
+    failures: dict[int, int] = {}
+    for name in sorted(names, key=MODELS.index):
+        watch = Observation()
+        mine = row_checks.get(name, [])
+        counts = [_row_failures(suite[i]).alias(f"c{i}") for i in mine]
+        table = layers[name].observe(watch, F.count("*").alias("rows"), *counts)
+        layers = layers.replaced(**{name: land(table, name)})
+        if mine:
+            found = watch.get
+            failures |= {i: found[f"c{i}"] for i in mine}
+    return layers, failures
+
+
+def _value(kind: str, column: str) -> list[Column]:
+    """A key as one of two columns, a number or a text."""
+    number = kind in ("tinyint", "smallint", "int", "bigint")
+    return [
+        (F.col(column) if number else F.lit(None)).cast("bigint").alias("number"),
+        (F.lit(None) if number else F.col(column)).cast("string").alias("text"),
+    ]
 
 
-def _key_checks(
-    model: str,
-    df: DataFrame,
-    column: str,
-    checks: list[Check],
-    layers: Mapping[str, DataFrame],
+def _stacked(
+    model: str, df: DataFrame, suite: list[Check], row_checks: list[int], keys: dict[tuple[str, str], int]
 ) -> DataFrame:
-    """All checks of a key column from its values and how often each occurs."""
-    values = df.groupBy(column).agg(F.count("*").alias("n"))
-    present = F.col(column).isNotNull()
-    counts = []
-    for i, c in enumerate(checks):
-        if c.kind == "unique":
-            failures = F.count_if(present & (F.col("n") > 1))
-        elif c.kind == "not_null":
-            failures = F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0))
-        else:
-            keys = layers[c.parent].select(F.col(c.key).alias(column)).distinct()
-            values = values.join(keys.withColumn(f"known{i}", F.lit(True)), column, "left")
-            orphan = present & F.col(f"known{i}").isNull()
-            failures = F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0))
-        counts.append(failures.alias(f"c{i}"))
-    return _as_rows(model, values.agg(*counts), checks)
+    """One scan of a model as rows (item, number, text, rows, known, failed).
+
+    A key column is an item with all its values; as a parent's key it is also a
+    row of each item that refers to it. Row checks have a row where they fail.
+    """
+    kinds = dict(df.dtypes)
+
+    def row(item: int, value: list[Column], rows: int, known: bool, failed: int) -> Column:
+        rest = {"rows": F.lit(rows).cast("bigint"), "known": F.lit(known), "failed": F.lit(failed).cast("bigint")}
+        return F.struct(F.lit(item).alias("item"), *value, *[c.alias(n) for n, c in rest.items()])
+
+    rows = [row(item, _value(kinds[c], c), 1, False, 0) for (m, c), item in keys.items() if m == model]
+    for check in suite:
+        if check.kind == "relationships" and check.parent == model:
+            item = keys[check.model, check.column]
+            rows.append(row(item, _value(kinds[check.key], check.key), 0, True, 0))
+    none = [F.lit(None).cast("bigint").alias("number"), F.lit(None).cast("string").alias("text")]
+    for i in row_checks:
+        c = suite[i]
+        bad = F.col(c.column).isNull() if c.kind == "not_null" else ~F.col(c.column).isin(list(c.values))
+        rows.append(F.when(bad, row(-1 - i, none, 0, False, 1)))
+    every = F.array(*rows)
+    return df.select(F.inline(F.filter(every, lambda r: r.isNotNull()) if row_checks else every))
 
 
 def run_quality_suite(
@@ -165,23 +173,60 @@ def run_quality_suite(
 ) -> DataFrame:
     """All checks as rows: model, column_name, check_name, failures, passed.
 
-    A model is read once for its row checks and once per key column. The models
-    named in ``store`` are written when the suite is called, so that they are
-    built once, and the models above them read what was written; pass an empty
-    ``store`` for a plan that runs nothing before its action.
+    The models named in ``store`` are written when the suite is called, so that they are
+    built once; their row checks are counted by that write. Each model is then
+    scanned once, for all its key columns and its other row checks. Keys and the keys
+    they refer to meet in one shuffle on (column, value), which counts how often a
+    value occurs and whether the parent knows it: no joins, whatever the number of
+    checks. A frequent value is one row of each task. Pass an empty ``store`` for a plan that
+    runs nothing before its action.
     """
     suite = SUITE if suite is None else suite
-    layers = layers.stored(*store)
-    results = []
-    for model in dict.fromkeys(c.model for c in suite):
-        mine = [c for c in suite if c.model == model]
-        keys = list(dict.fromkeys(c.column for c in mine if c.kind in ("unique", "relationships")))
-        by_line = [c for c in mine if c.column not in keys or c.kind == "accepted_values"]
-        df = layers[model].select(*dict.fromkeys(c.column for c in mine))
-        if by_line:
-            results.append(_line_checks(model, df, by_line))
-        for column in keys:
-            by_key = [c for c in mine if c.column == column and c.kind != "accepted_values"]
-            results.append(_key_checks(model, df, column, by_key, layers))
-    every = reduce(DataFrame.unionByName, results)
-    return every.withColumn("passed", F.col("failures") == 0)
+    key_columns = dict.fromkeys((c.model, c.column) for c in suite if c.kind in _KEY_KINDS)
+    keys = {at: item for item, at in enumerate(key_columns)}
+    row_checks: dict[str, list[int]] = {}
+    for i, c in enumerate(suite):
+        if c.kind not in _KEY_KINDS and not (c.kind == "not_null" and (c.model, c.column) in keys):
+            row_checks.setdefault(c.model, []).append(i)
+    layers, seen = _observed(layers, store, row_checks, suite)
+    scans = []
+    for model in MODELS:
+        left = [i for i in row_checks.get(model, []) if i not in seen]
+        parent = any(c.parent == model for c in suite)
+        if left or parent or any(m == model for m, _ in keys):
+            scans.append(_stacked(model, layers[model], suite, left, keys))
+    spark = layers.spark
+    if scans:
+        values = reduce(DataFrame.unionByName, scans).groupBy("item", "number", "text").agg(
+            F.sum("rows").alias("n"), F.max("known").alias("known"), F.sum("failed").alias("failed")
+        )
+        missing = F.col("number").isNull() & F.col("text").isNull()
+        per_item = values.groupBy("item").agg(
+            F.count_if(~missing & (F.col("n") > 1)).alias("unique"),
+            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("not_null"),
+            F.coalesce(F.sum(F.when(~missing & ~F.col("known"), F.col("n"))), F.lit(0)).alias("relationships"),
+            F.sum("failed").alias("failed"),
+        )
+    else:
+        per_item = spark.createDataFrame([], "item int, unique long, not_null long, relationships long, failed long")
+    by_row = {i for found in row_checks.values() for i in found}
+    plan = [
+        (c.model, c.column, c.kind, -1 - i if i in by_row else keys[c.model, c.column], seen.get(i))
+        for i, c in enumerate(suite)
+    ]
+    # One row for each check.
+    listed = spark.createDataFrame(
+        plan, "model string, column_name string, check_name string, item int, seen long"
+    )
+    by_kind = F.coalesce(
+        F.when(F.col("item") < 0, F.col("failed")),
+        F.when(F.col("item") >= 0, F.expr("CASE check_name WHEN 'unique' THEN unique WHEN 'not_null' THEN not_null ELSE relationships END")),
+        F.lit(0),
+    )
+    return listed.join(per_item, "item", "left").select(
+        "model",
+        "column_name",
+        "check_name",
+        F.coalesce("seen", by_kind).cast("bigint").alias("failures"),
+        (F.coalesce("seen", by_kind) == 0).alias("passed"),
+    )

@@ -32,16 +32,28 @@ class Layers:
     def __init__(self, star: dict[str, DataFrame]) -> None:
         self._star = star
 
+    @property
+    def spark(self) -> SparkSession:
+        return next(iter(self._star.values())).sparkSession
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in MODELS:
             raise KeyError(name)
         return getattr(self, name)
 
+    def replaced(self, **tables: DataFrame) -> Layers:
+        """The same models with some tables given; models built on them read these."""
+        layers = Layers(self._star)
+        layers.__dict__.update({n: t for n, t in self.__dict__.items() if n in getattr(self, "_given", ())})
+        layers.__dict__.update(tables)
+        layers.__dict__["_given"] = {*getattr(self, "_given", ()), *tables}
+        return layers
+
     def stored(self, *names: str) -> Layers:
         """The same models with the named ones written once; models built on them read what was written."""
-        layers = Layers(self._star)
+        layers = self
         for name in sorted(names, key=MODELS.index):
-            layers.__dict__[name] = land(layers[name], name)
+            layers = layers.replaced(**{name: land(layers[name], name)})
         return layers
 
     @cached_property

@@ -2,16 +2,19 @@
 
 Here a return is a negative quantity and a positive sale a positive one.
 Rates are 0 where there is nothing to divide by.
+
+Every metric also takes lines that ``reduce_to_orders`` or ``reduce_to_products``
+has summed up, as far as it needs no other columns; their results are the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import fixed_values as fixed
-from tillroll.functions.percentiles import exact_percentiles
+from tillroll.functions.percentiles import Percentile, percentile_columns
 from tillroll.functions.scalars import (
     is_operational,
     lenient_bigint,
@@ -23,6 +26,7 @@ from tillroll.functions.scalars import (
     safe_divide,
     whole_days_between,
 )
+from tillroll.sources.workspace import land
 
 _LINE_LABELS = ["country_name", "stock_code", "product_name"]
 
@@ -85,6 +89,49 @@ def filter_fact(
     return df
 
 
+def reduce_to_orders(df: DataFrame) -> DataFrame:
+    """Lines summed per customer, invoice, country and month, under the names of the line columns."""
+    return df.groupBy("customer_id", "invoice_number", "country_name", "month").agg(
+        *[F.sum(c).alias(c) for c in ("gross_revenue", "line_revenue", "return_value", "positive_units")],
+        F.bool_or("is_positive_sale").alias("is_positive_sale"),
+        F.max("invoice_date").alias("invoice_date"),
+        F.count("*").alias("line_count"),
+    )
+
+
+def reduce_to_products(df: DataFrame) -> DataFrame:
+    """Lines summed per code and name, under the names of the line columns, with counts of odd lines."""
+    sums = ("gross_revenue", "line_revenue", "return_value", "positive_units", "returned_units", "quantity")
+    return df.groupBy("stock_code", "product_name", "is_operational_code").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.count("sale_id").alias("sale_count"),
+        F.count("*").alias("line_count"),
+        *[F.count_if(F.expr(when)).alias(name) for name, when in _ODD_LINES.items()],
+    )
+
+
+_ODD_LINES = {
+    "null_customer_rows": "customer_id IS NULL",
+    "return_rows": "is_return",
+    "cancel_invoice_rows": "is_cancel_invoice",
+    "zero_price_rows": "unit_price = 0",
+    "outlier_rows": f"unit_price > {fixed.OUTLIER_PRICE} OR abs(quantity) > {fixed.OUTLIER_QUANTITY}",
+}
+
+
+def _lines(df: DataFrame) -> Column:
+    """Number of lines, also of reduced ones."""
+    return F.coalesce(F.sum("line_count"), F.lit(0)) if "line_count" in df.columns else F.count("*")
+
+
+def _sales(df: DataFrame) -> Column:
+    return F.coalesce(F.sum("sale_count"), F.lit(0)) if "sale_count" in df.columns else F.count("sale_id")
+
+
+def _odd(df: DataFrame, name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0)) if name in df.columns else F.count_if(F.expr(_ODD_LINES[name]))
+
+
 def customer_order_counts(df: DataFrame) -> DataFrame:
     """Distinct invoices per known customer."""
     known = df.where("customer_id IS NOT NULL")
@@ -157,34 +204,48 @@ def _newest_known(df: DataFrame) -> Column:
 
 
 def _summarize_customers(lines: DataFrame, newest: Column) -> DataFrame:
-    known = lines.where("customer_id IS NOT NULL")
-    main_country = (
-        known.groupBy("customer_id", "country_name")
-        .agg(F.count("*").alias("lines"))
-        .where("country_name IS NOT NULL")
-        .groupBy("customer_id")
+    """Lines are shuffled once, summed per customer, country and invoice.
+
+    An invoice counts in the first of its countries, so that the sums per customer and
+    country, of which there are few, hold all that is asked of a customer.
+    """
+    orders = (
+        lines.where("customer_id IS NOT NULL")
+        .groupBy("customer_id", "invoice_number", "country_name")
+        .agg(
+            _lines(lines).alias("lines"),
+            F.sum("gross_revenue").alias("value"),
+            F.max("invoice_date").alias("latest"),
+        )
+    )
+    nth = F.row_number().over(Window.partitionBy("customer_id", "invoice_number").orderBy("country_name"))
+    counted = (F.col("nth") == 1) & F.col("invoice_number").isNotNull()
+    countries = (
+        orders.withColumn("nth", nth)
+        .groupBy("customer_id", "country_name")
         .agg(
-            F.min_by("country_name", F.struct(-F.col("lines"), "country_name")).alias("main_country")
+            F.sum("lines").alias("lines"),
+            F.sum("value").alias("value"),
+            F.max("latest").alias("latest"),
+            F.count_if(counted).alias("orders"),
         )
     )
-    values = known.groupBy("customer_id").agg(
-        F.sum("gross_revenue").alias("lifetime_value"),
-        F.count_distinct("invoice_number").alias("order_count"),
-        F.max("invoice_date").alias("last_order_date"),
+    most = F.when(F.col("country_name").isNotNull(), F.struct(-F.col("lines"), "country_name"))
+    values = countries.groupBy("customer_id").agg(
+        F.sum("value").alias("lifetime_value"),
+        F.sum("orders").alias("order_count"),
+        F.max("latest").alias("last_order_date"),
+        F.min_by("country_name", most).alias("main_country"),
     )
     days = whole_days_between(F.col("last_order_date"), newest).cast("bigint")
-    return (
-        values.join(main_country, "customer_id", "left")
-        .withColumn("recency_days", days)
-        .select(
-            F.col("customer_id").cast("string").alias("customer_id"),
-            "lifetime_value",
-            "order_count",
-            "last_order_date",
-            "recency_days",
-            recency_bucket(F.col("recency_days")).alias("recency_bucket"),
-            F.coalesce("main_country", F.lit("Unknown")).alias("primary_country"),
-        )
+    return values.withColumn("recency_days", days).select(
+        F.col("customer_id").cast("string").alias("customer_id"),
+        "lifetime_value",
+        "order_count",
+        "last_order_date",
+        "recency_days",
+        recency_bucket(F.col("recency_days")).alias("recency_bucket"),
+        F.coalesce("main_country", F.lit("Unknown")).alias("primary_country"),
     )
 
 
@@ -223,12 +284,18 @@ def customer_values(df: DataFrame) -> DataFrame:
 
 def customer_metrics(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Five customer KPIs in one row; the median is exact unless asked otherwise."""
-    values = customer_values(df)
     if approximate:
+        values = customer_values(df)
         median = values.agg(F.percentile_approx("lifetime_value", 0.5, 10000)).scalar()
     else:
-        median = exact_percentiles(values, "lifetime_value", {"median": "0.5"}).scalar()
-    lines = df.agg(F.count("*").alias("lines"), F.count("customer_id").alias("known_lines"))
+        # Written once: the median takes several looks at the customers.
+        values = land(customer_values(df), "customer-values")
+        median = percentile_columns(values, {"median": Percentile("lifetime_value", "0.5")})["median"]
+    known = F.col("customer_id").isNotNull()
+    size = F.col("line_count") if "line_count" in df.columns else F.lit(1)
+    lines = df.agg(
+        _lines(df).alias("lines"), F.coalesce(F.sum(F.when(known, size)), F.lit(0)).alias("known_lines")
+    )
     customers = _one_row(
         values,
         F.count("*").alias("known"),
@@ -265,8 +332,8 @@ def product_metrics(df: DataFrame, include_operational: bool = False) -> DataFra
             F.sum("positive_units").alias("units_sold"),
             F.sum("returned_units").alias("returned_units"),
             F.sum("return_value").alias("return_value"),
-            F.count_if("is_return").alias("return_lines"),
-            F.count("*").alias("lines"),
+            _odd(df, "return_rows").alias("return_lines"),
+            _lines(df).alias("lines"),
         )
     )
     totals = by_code.agg(
@@ -298,8 +365,8 @@ def product_totals(df: DataFrame, min_units: int = 1, include_operational: bool
             F.sum("positive_units").alias("units_sold"),
             F.sum("returned_units").alias("returned_units"),
             F.sum("return_value").alias("return_value"),
-            F.count_if("is_return").alias("return_lines"),
-            F.count("sale_id").alias("line_count"),
+            _odd(df, "return_rows").alias("return_lines"),
+            _sales(df).alias("line_count"),
         )
         .where(F.col("units_sold") >= min_units)
         .withColumns(
@@ -311,17 +378,26 @@ def product_totals(df: DataFrame, min_units: int = 1, include_operational: bool
     )
 
 
-def label_products(totals: DataFrame) -> DataFrame:
-    """Add the risk label; high revenue is the upper quarter of these products."""
-    high = exact_percentiles(
-        totals, "gross_revenue", {"high": fixed.HIGH_REVENUE_PERCENTILE}
-    ).scalar()
+_HIGH = Percentile("gross_revenue", fixed.HIGH_REVENUE_PERCENTILE)
+
+
+def with_risk_label(totals: DataFrame, high: Column) -> DataFrame:
+    """Add the risk label, given the revenue from which it is high."""
     label = risk_label(
         F.col("gross_revenue"), high, F.col("return_line_rate"), F.col("returned_unit_rate")
     )
     return totals.withColumn("risk_label", label)
 
 
+def label_products(totals: DataFrame) -> DataFrame:
+    """Add the risk label; high revenue is the upper quarter of these products.
+
+    The totals are written once, as they are looked at several times.
+    """
+    totals = land(totals, "product-totals")
+    return with_risk_label(totals, percentile_columns(totals, {"high": _HIGH})["high"])
+
+
 def audit_order() -> list[Column]:
     """Best revenue first, then the higher return rate; code and name settle ties."""
     return [
@@ -369,16 +445,8 @@ def data_quality_metrics(df: DataFrame) -> DataFrame:
     Lines are counted per product code and flag first; the number of codes then
     comes from those groups.
     """
-    outlier = (F.col("unit_price") > fixed.OUTLIER_PRICE) | (
-        F.abs("quantity") > fixed.OUTLIER_QUANTITY
-    )
     groups = df.groupBy("is_operational_code", "stock_code").agg(
-        F.count("*").alias("processed_fact_rows"),
-        F.count_if(F.col("customer_id").isNull()).alias("null_customer_rows"),
-        F.count_if("is_return").alias("return_rows"),
-        F.count_if("is_cancel_invoice").alias("cancel_invoice_rows"),
-        F.count_if(F.col("unit_price") == 0).alias("zero_price_rows"),
-        F.count_if(outlier).alias("outlier_rows"),
+        _lines(df).alias("processed_fact_rows"), *[_odd(df, name).alias(name) for name in _ODD_LINES]
     )
     flagged = F.col("is_operational_code")
     counted = [c for c in groups.columns if c not in ("is_operational_code", "stock_code")]
@@ -405,7 +473,7 @@ def operational_code_summary(df: DataFrame, n: int = 25) -> DataFrame:
         df.where("is_operational_code")
         .groupBy("stock_code", "product_name")
         .agg(
-            F.count("sale_id").alias("rows"),
+            _sales(df).alias("rows"),
             F.sum("gross_revenue").alias("gross_revenue"),
             F.sum("return_value").alias("return_value"),
             F.sum("quantity").alias("units"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.functions.fixed_values import MISSING_MARKERS, READABLE_NAMES
 from tillroll.operators.cleaning import union_partitions
@@ -15,6 +16,7 @@ from tillroll.sources.schemas import (
     STAR_TABLES,
     string_schema,
 )
+from tillroll.sources.versions import published_version
 from tillroll.sources.writers import CSV_OPTIONS
 
 
@@ -49,10 +51,10 @@ def read_processed_fact(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_star(spark: SparkSession, folder: str, views: bool = True) -> dict[str, DataFrame]:
-    """The four star tables from a folder with their declared schemas, also as views."""
+    """The four star tables of the newest published version with their declared schemas, also as views."""
+    version = published_version(spark, folder)
     star = {
-        name: spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}")
-        for name in STAR_TABLES
+        name: spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{version}/{name}") for name in STAR_TABLES
     }
     if views:
         for name, table in star.items():
@@ -68,6 +70,14 @@ def type_mart_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def read_extracts(spark: SparkSession, folder: str, schemas: dict[str, StructType]) -> dict[str, DataFrame]:
+    """The exported extracts with the given column types."""
+    return {
+        name: spark.read.options(**CSV_OPTIONS).schema(schema).csv(f"{folder.rstrip('/')}/{name}")
+        for name, schema in schemas.items()
+    }
+
+
 def readable_names(df: DataFrame) -> DataFrame:
     """Captions instead of column names, where there is one."""
     return df.withColumnsRenamed({k: v for k, v in READABLE_NAMES.items() if k in df.columns})

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.sources.schemas import MART_SCHEMAS, STAR_SCHEMAS, STAR_TABLES, conform_to_schema
+from tillroll.sources.versions import publish_version, refuse_own_input
 
 # Quotes inside quotes are doubled, blanks are kept; the same for reading and writing.
 CSV_OPTIONS = {
@@ -36,14 +37,21 @@ class ExportResult:
         return not self.missing
 
 
-def write_star(tables: dict[str, DataFrame], folder: str) -> None:
-    """Replace all star tables: dimensions first, then the fact.
+def write_star(tables: dict[str, DataFrame], folder: str) -> str:
+    """Replace all star tables together; returns the folder of the new version.
 
-    The tables must not be read from the folder that is written.
+    They are written to a folder of their own, dimensions first and then the fact,
+    and are published in one step at the end. If a write fails, the tables that were
+    published before stay. Tables that are read from ``folder`` are refused.
     """
-    for name in STAR_TABLES:
-        table = conform_to_schema(tables[name], STAR_SCHEMAS[name])
-        table.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+    spark = next(iter(tables.values())).sparkSession
+    refuse_own_input(tables, folder)
+
+    def write(version: str) -> None:
+        for name in STAR_TABLES:
+            conform_to_schema(tables[name], STAR_SCHEMAS[name]).write.parquet(f"{version}/{name}")
+
+    return publish_version(spark, folder, write)
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:

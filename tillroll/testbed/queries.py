@@ -7,7 +7,7 @@ order. Money is published as double.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +25,11 @@ from tillroll.operators import cleaning, quality, star
 from tillroll.plans import analytics, metrics, models, pages, semantic
 from tillroll.plans.layers import MARTS, MODELS, Layers, register_layers
 from tillroll.sources import readers, writers
-from tillroll.sources.schemas import ENRICHED_COLUMNS, STAR_SCHEMAS, conform_to_schema, string_schema
+from tillroll.sources.longform import long_form
+from tillroll.sources.schemas import ENRICHED_COLUMNS, STAR_SCHEMAS, conform_to_schema
 from tillroll.sources.workspace import fresh_path, landed_once
 from tillroll.testbed import tables
+from tillroll.testbed.longsql import key_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,12 +45,9 @@ def _publish_lines(df: DataFrame) -> DataFrame:
     return publish(df.drop("sale_id"))
 
 
-def _row_counts(frames: dict[str, DataFrame], label: str) -> DataFrame:
-    counts = [
-        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias(label), "rows")
-        for name, df in frames.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+def _long(frames: dict[str, DataFrame]) -> DataFrame:
+    """All values of some tables; the numbers of the lines are left out."""
+    return long_form({n: df.drop("sale_id") for n, df in frames.items()}, {n: key_columns(n) for n in frames})
 
 
 def _on_raw(step: Callable[[DataFrame], DataFrame]) -> Query:
@@ -107,55 +106,66 @@ def _read_processed_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load_star(spark: SparkSession, sf: str) -> DataFrame:
-    return _row_counts(tables.star(spark, sf), "table_name")
+    return _long(tables.star(spark, sf))
 
 
 def _write_star(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "star")
     writers.write_star(tables.star(spark, sf), path)
-    return _publish_lines(readers.load_star(spark, path, views=False)["fact_sales"])
+    return _long(readers.load_star(spark, path, views=False))
 
 
 def _conform(stars: dict[str, DataFrame]) -> DataFrame:
     return conform_to_schema(stars["fact_sales"].drop("is_return"), STAR_SCHEMAS["fact_sales"])
 
 
-def _export_marts(spark: SparkSession, sf: str, path: str) -> writers.ExportResult:
-    register_layers(spark, tables.star(spark, sf))
-    return writers.export_marts(spark, path, mart_schema=None)
+def _mart_schema(spark: SparkSession, sf: str) -> str:
+    """A schema with the marts as tables, saved once for each data set."""
 
+    def write(path: str) -> None:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{path}'")
+        register_layers(spark, tables.star(spark, sf), schema)
 
-def _exported_mart_rows(spark: SparkSession, sf: str) -> DataFrame:
-    path = fresh_path(spark, "marts-csv")
-    result = _export_marts(spark, sf, path)
-    read_back = readers.type_mart_exports(spark, path)
-    return _row_counts({name: read_back[name] for name in result.exported}, "mart")
+    schema = f"analytics_marts_{crc32(f'{spark.sparkContext.applicationId} {sf}'.encode()):08x}"
+    landed_once(spark, f"marts:{sf}", write)
+    return schema
 
 
-def _type_mart_exports(spark: SparkSession, sf: str) -> DataFrame:
+def _exported_marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The marts as exported from the schema and read back."""
+
     def write(path: str) -> None:
-        _export_marts(spark, sf, path)
+        result = writers.export_marts(spark, path, _mart_schema(spark, sf))
+        if not result.complete:
+            raise RuntimeError(f"marts not found: {result.missing}")
 
     path, _ = landed_once(spark, f"marts-csv:{sf}", write)
-    return readers.type_mart_exports(spark, path)["mart_customer_lifetime_value"]
+    return readers.type_mart_exports(spark, path)
+
+
+def _export_marts(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_path(spark, "marts-csv")
+    result = writers.export_marts(spark, path, _mart_schema(spark, sf))
+    read_back = readers.type_mart_exports(spark, path)
+    return _long({name: read_back[name] for name in result.exported})
+
+
+def _type_mart_exports(spark: SparkSession, sf: str) -> DataFrame:
+    return _long(_exported_marts(spark, sf))
 
 
 def _export_bi_extracts(spark: SparkSession, sf: str) -> DataFrame:
     extracts = analytics.build_extracts(tables.star(spark, sf))
     path = fresh_path(spark, "extracts-csv")
     writers.export_bi_extracts(extracts, path)
-    read_back = {
-        name: spark.read.options(**writers.CSV_OPTIONS)
-        .schema(string_schema(df.columns))
-        .csv(f"{path}/{name}")
-        for name, df in extracts.items()
-    }
-    return _row_counts(read_back, "extract")
+    return _long(readers.read_extracts(spark, path, {name: df.schema for name, df in extracts.items()}))
 
 
 def _register_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Every model through its view, the marts as tables of their schema."""
+    schema = _mart_schema(spark, sf)
     register_layers(spark, tables.star(spark, sf))
-    return _row_counts({name: spark.table(name) for name in MODELS}, "model")
+    return _long({name: spark.table(f"{schema}.{name}" if name in MARTS else name) for name in MODELS})
 
 
 # --- cleaning ----------------------------------------------------------------------
@@ -247,15 +257,18 @@ def _texts(layers: Layers) -> DataFrame:
     )
 
 
-def _page_view(df: DataFrame) -> DataFrame:
-    """Row counts of the tables of all pages under one set of filters."""
+def _page_view(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables of all pages under one set of filters."""
     filters = pages.PageFilters("1996-03-01", "1997-09-30", ("United Kingdom", "EIRE", "NATION_7"))
-    found = {
-        f"{tab}.{name}": table
-        for tab in pages.PAGES
-        for name, table in pages.page_view(df, tab, filters).items()
-    }
-    return _row_counts(found, "page_table")
+    fact = tables.dashboard_fact(spark, sf)
+    stages = {"raw": tables.raw_lines(spark, sf), "cleaned": tables.clean_lines(spark, sf)}
+    return _long(
+        {
+            f"{tab}.{name}": table
+            for tab in pages.PAGES
+            for name, table in pages.page_view(fact, tab, filters, stages).items()
+        }
+    )
 
 
 # --- semantic layer --------------------------------------------------------------------------
@@ -292,7 +305,7 @@ QUERIES: dict[str, Query] = {
     "load_star": _load_star,
     "write_star": _write_star,
     "conform_to_schema": _on_star(_conform),
-    "export_marts": _exported_mart_rows,
+    "export_marts": _export_marts,
     "export_bi_extracts": _export_bi_extracts,
     "register_layers": _register_layers,
     # cleaning
@@ -391,7 +404,7 @@ QUERIES: dict[str, Query] = {
     "aov_top_countries": _on_dashboard(pages.aov_top_countries),
     "lineage_counts": _lineage,
     "format_compact_money": _on_layers(_texts),
-    "page_view": _on_dashboard(_page_view),
+    "page_view": _page_view,
     # semantic layer
     "measures_executive": _report(semantic.measures_executive, "mart_executive_kpis"),
     "measures_customer": _report(semantic.measures_customer, "mart_customer_lifetime_value"),
