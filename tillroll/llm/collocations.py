@@ -43,10 +43,12 @@ SLOTS = 20
 TILE = 10
 DENSE_TILES = 16
 DENSE_FROM = 1 << 15
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Rows of a sorted list at which it goes to Spark, and different words of a task.
-LIST_ROWS = 1 << 21
-TASK_WORDS = 400_000
+LIST_ROWS = 1 << 19
+TASK_WORDS = 250_000
+#: Rows of a batch on its way to Spark.
+BATCH = 1 << 16
 #: Parts of a language's phrases that are ranked apart first.
 PARTS = 16
 
@@ -134,12 +136,12 @@ class TileCounts:
         # What is dense stays dense; the fullest tiles join while there is room.
         fresh = sorted(((-n, t) for t, n in zip(often.tolist(), times.tolist()) if n >= DENSE_FROM and t not in self._dense))
         for _, tile in fresh[: max(0, DENSE_TILES - len(self._dense))]:
-            self._dense[tile] = np.zeros(1 << (2 * TILE), np.int64)
+            self._dense[tile] = np.zeros(1 << (2 * TILE), np.uint32)
         rest = np.ones(len(codes), bool)
         for tile, cells_of in self._dense.items():
             mine = tiles == tile
             if mine.any():
-                cells_of += np.bincount(cells[mine], minlength=len(cells_of))
+                cells_of += np.bincount(cells[mine], minlength=len(cells_of)).astype(np.uint32)
                 rest &= ~mine
         self._lists.append(_summed(codes[rest]))
         self.rows += len(self._lists[-1][0])
@@ -165,7 +167,7 @@ class TileCounts:
                 unit = (tile // self._across << TILE) + (at >> TILE)
                 word = (tile % self._across << TILE) + (at & ((1 << TILE) - 1))
                 codes.append(unit * self._words + word)
-                counts.append(cells[at])
+                counts.append(cells[at].astype(np.int64))
             self._dense = {}
         self._lists, self.rows = [], 0
         units, words = np.divmod(np.concatenate(codes), self._words)
@@ -358,18 +360,20 @@ def _phrase_counts(docs: DataFrame, length: int, seed: int, known: list, words:
     """
     names = [f"w{i + 1}" for i in range(length)]
 
-    def batch_of(columns: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[*names, "n"])
+    def batches_of(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(columns[0]), BATCH):
+            part = [pa.array(c[at : at + BATCH], pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays(part, names=[*names, "n"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single, units = known[0].value, known[-1].value
         numbers: dict[str, _Numbers] = {}
         tiles, tuples = TileCounts(words), TupleCounts(length)
 
-        def from_tiles(last: bool) -> pa.RecordBatch:
+        def from_tiles(last: bool) -> Iterator[pa.RecordBatch]:
             unit, word, n = tiles.take(last)
             first = [unit] if length == 2 else [column[unit] for column in units.ranked]
-            return batch_of([*first, word, n])
+            return batches_of([*first, word, n])
 
         for batch in batches:
             for lang, found in _by_lang(batch):
@@ -396,11 +400,11 @@ def _phrase_counts(docs: DataFrame, length: int, seed: int, known: list, words:
                 tiles.add(unit[tiled], columns[-1][tiled])
                 tuples.add([c[~tiled] for c in columns])
                 if tiles.rows >= LIST_ROWS:
-                    yield from_tiles(False)
+                    yield from from_tiles(False)
                 if tuples.rows >= LIST_ROWS:
-                    yield batch_of(tuples.take())
-        yield from_tiles(True)
-        yield batch_of(tuples.take())
+                    yield from batches_of(tuples.take())
+        yield from from_tiles(True)
+        yield from batches_of(tuples.take())
 
     parts = docs.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
     return parts.groupBy(*names).agg(F.sum("n").alias("n"))
