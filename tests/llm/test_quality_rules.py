@@ -45,3 +45,16 @@ def test_oracles(spark, small):
     duck = open_duckdb(small)
     for name, sql in queries.ORACLES.items():
         assert compare(queries.QUERIES[name](spark, small), duck, sql) == ""
+
+
+def test_names_that_the_measures_use_inside(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, 6, 7)], "doc_id long, text string, words long, lines long, windows long")
+    row = quality_rules.measure(docs, NAMES).first()
+    assert (row.n_words, row.words, row.lines, row.windows) == (3, 5, 6, 7)
+
+
+def test_own_measures_are_inside_the_branches(spark, small):
+    df = queries.QUERIES["op5_quality_rules"](spark, small)
+    kept = df._jdf.queryExecution().optimizedPlan().toString()
+    branch = kept[kept.index("CASE WHEN"):]
+    assert "n_capitals" not in kept and "n_lines" not in kept and "translate(" in branch

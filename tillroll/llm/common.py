@@ -25,6 +25,14 @@ def sql_text(text: str) -> str:
     return f"'{escaped}'"
 
 
+def spare_name(base: str, taken: list[str]) -> str:
+    """A column name that is not taken, whatever its case."""
+    names = {t.lower() for t in taken}
+    while base.lower() in names:
+        base += "_"
+    return base
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
