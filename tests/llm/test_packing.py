@@ -68,3 +68,15 @@ def test_as_few_sequences_as_tokens_allow(spark, small):
     rows = packing.best_fit(packing.token_pieces(spark.read.parquet(f"{small}/documents.parquet"), PATH).drop("ids"))
     total, made = rows.selectExpr("sum(length)", "count(DISTINCT sequence_id)").first()
     assert made <= -(-total // 4096) * 1.01 + 1
+
+
+def test_letters_whose_small_form_has_a_mark():
+    """A sign after a capital I with a dot joins the mark that its small form ends with; any letter, any sign."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, known = Tokenizer.from_file(path), packing.WordIds(open(path, encoding="utf-8").read())
+    letters = [c for c in map(chr, range(0x41, 0x2000)) if c.isalpha()][::7] + ["\u0130", "\u01f0", "\u0390"]
+    for letter in letters:
+        for sign in ".,!?;:'\")]":
+            text = f"TAR{letter}H{letter}{sign} {letter}{sign}"
+            expected = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(known.of_text(text), "<u4").tolist() == expected, text

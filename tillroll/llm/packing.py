@@ -17,10 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from tillroll.llm.common import SharedFile, byte_signs, texts_of
+from tillroll.llm.common import SharedFile, byte_signs, spare_name, texts_of
 
 CAPACITY = 4096
 END_ID = 1
@@ -50,7 +50,8 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(_TAIL)
-        if len(core) < len(word) and core[-1:].isalpha():
+        # Small letters count: the mark of a small I with a dot joins the signs after it.
+        if len(core) < len(word) and core[-1:].isalpha() and core.lower()[-1:].isalpha():
             ids = self[core] + self[word[len(core) :]]
         elif (unit := self._unit(word)) is not None:
             ids = np.array([t.id for t in self._model.tokenize(unit)], "<u4").tobytes()
@@ -105,11 +106,12 @@ def token_pieces(
     clashing names do no harm; null keys and repeated rows are kept.
     """
     shared = SharedFile(docs.sparkSession, tokenizer)
-    rows = docs.select(F.col(key), F.col(text).alias("__text"))
+    rows = docs.select(F.col(key), F.col(text).alias(spare_name("text", [key])))
     schema = StructType(
         [
             StructField(key, docs.schema[key].dataType, True),
-            *[StructField(n, LongType(), False) for n in ("piece", "start", "length")],
+            StructField("piece", IntegerType(), False),
+            *[StructField(n, LongType(), False) for n in ("start", "length")],
         ]
     ).add("ids", "binary", False)
     arrow = to_arrow_schema(schema)
@@ -132,7 +134,7 @@ def token_pieces(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(owner, pa.int64())),
-                        pa.array(piece, pa.int64()),
+                        pa.array(piece, pa.int32()),
                         pa.array(start, pa.int64()),
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
@@ -201,7 +203,8 @@ def best_fit(
     """
     pieces = pieces.drop("sequence_id", "offset")
     order = F.xxhash64(*[c for c in pieces.columns if c != "ids"])
-    dealt = pieces.withColumn("__order", order).repartition("__order").sortWithinPartitions("__order", length)
+    at = spare_name("order", pieces.columns)
+    dealt = pieces.withColumn(at, order).repartition(at).sortWithinPartitions(at, length)
     schema = StructType(
         pieces.schema.fields
         + [StructField("sequence_id", LongType(), False), StructField("offset", LongType(), False)]
