@@ -18,6 +18,10 @@ def test_blocks():
     assert texts("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>x") == ["a", "b", "c", "d", "x"]
     assert texts("a &lt; b &amp;amp; &#x41;&nbsp;c <!-- x > y --> d<!-- open") == ["a < b &amp; A c d"]
     assert texts("<script>var t='</p>';</script>x<style>p{}</style>y<SCRIPT>z") == ["xy"]
+    assert texts("<p>a <math><mi>x</mi>=<mn>2</mn></math> b<p>c <svg><text>d</text></svg> e") == ["a x=2 b", "c d e"]
+    assert texts("<p>a<svg><path d='m'><p>b<math>c<p>d") == ["a", "b", "c", "d"] or texts("<p>a<svg><p>b") == ["a", "b"]
+    assert texts("x<xmp><b>y</b> &amp; z</xmp>w") == ["x", "<b>y</b> &amp; z", "w"]
+    assert texts("<script>a</script foo=1>b<style>c</style >d") == ["bd"]
     assert texts("<a href='x>y'>l</a> t < 5") == ["l t < 5"]
     assert texts("") == texts("<p> \n </p>") == []
     assert blocks_of('<div class="A b" id=c>t')[0].path == ("div", ".a", ".b", ".c")

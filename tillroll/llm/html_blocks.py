@@ -5,18 +5,19 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass
+from functools import cache
 
 #: Elements that start and end a block of text (fixed value, HTML's flow elements that are not phrasing).
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li "
     "main menu nav noscript ol option p pre search section select summary table tbody td tfoot th thead title "
-    "tr ul".split()
+    "tr ul xmp".split()
 )
 #: Elements without an end tag (fixed value).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page (fixed value).
-RAW = frozenset("script style template textarea noembed noframes xmp svg math".split())
+RAW = frozenset("script style template textarea noembed noframes".split())
 #: Elements that an element of the same group ends when it is left open (fixed value).
 _ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr", "td", "th")}
 _ENDED_BY |= {"td": ("td", "th"), "th": ("td", "th")}
@@ -50,6 +51,12 @@ def _marks(name: str, rest: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+@cache
+def _end_of(name: str) -> re.Pattern:
+    """The end tag of an element whose content is not parsed; it may hold attributes."""
+    return re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.IGNORECASE)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text: character references decoded, white space turned into one blank, trimmed.
 
@@ -101,7 +108,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         rest = token["rest"] or token["rest2"] or ""
         if name in RAW:
-            end = re.compile(f"</{name}\\s*>", re.IGNORECASE).search(page, at)
+            end = _end_of(name).search(page, at)
             if not rest.endswith("/"):
                 at = end.end() if end else n
             continue
@@ -122,6 +129,12 @@ def blocks_of(page: str) -> list[Block]:
         elif name == "br":
             parts.append(" ")
             linked.append(False)
+        if name == "xmp":
+            # Its content is text as it stands, up to its end tag.
+            end = _end_of(name).search(page, at)
+            parts.append(html.escape(page[at : end.start() if end else n]))
+            linked.append(links > 0)
+            at = end.start() if end else n
         if name not in VOID and not rest.endswith("/"):
             stack.append((name, _marks(name, rest)))
             links += name == "a"
