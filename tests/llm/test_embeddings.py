@@ -73,3 +73,11 @@ def test_edge_rows(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert en.near_vectors(empty).count() == 0
+
+
+def test_norms_beyond_floating_point(spark):
+    """Finite vectors whose squares overflow or vanish link like any other."""
+    rows = [(1, [1e200, 2e200, 0.0], 1), (2, [1.0, 2.0, 0.01], 1), (3, [1e-200, 2e-200, 0.0], 1), (4, [0.0, 0.0, 1e300], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in en.near_vectors(df).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}

@@ -125,9 +125,12 @@ def _packed(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
                 if e is not None and all(x is not None for x in e):
                     row = np.array(e, "<f8")
                     if np.isfinite(row).all() and row.any():
-                        with np.errstate(over="ignore"):
-                            if 0 < np.linalg.norm(row) < np.inf:
-                                found = (row + 0.0).tobytes()
+                        with np.errstate(over="ignore", under="ignore"):
+                            norm = np.linalg.norm(row)
+                            if not 1e-100 < norm < 1e100:
+                                # The cosine is that of the vector over a power of two.
+                                row = np.ldexp(row, -int(np.frexp(np.abs(row).max())[1]))
+                        found = (row + 0.0).tobytes()
                 packed.append(found)
                 sizes.append(len(e) if found else None)
             yield pa.RecordBatch.from_arrays(
