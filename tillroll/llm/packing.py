@@ -50,8 +50,7 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(_TAIL)
-        # Small letters count: the mark of a small I with a dot joins the signs after it.
-        if len(core) < len(word) and core[-1:].isalpha() and core.lower()[-1:].isalpha():
+        if len(core) < len(word) and self._ends_with_letter(core):
             ids = self[core] + self[word[len(core) :]]
         elif (unit := self._unit(word)) is not None:
             ids = np.array([t.id for t in self._model.tokenize(unit)], "<u4").tobytes()
@@ -61,6 +60,15 @@ class WordIds(dict):
             self[word] = ids
         return ids
 
+    def _ends_with_letter(self, core: str) -> bool:
+        """Whether signs after it are apart for the library, which composes and lowers first.
+
+        Some letters come to end with a mark by that, which the signs would join.
+        """
+        if core.isascii():
+            return core[-1:].isalpha()
+        return core[-1:].isalpha() and is_normalized("NFC", core) and core.lower()[-1:].isalpha()
+
     def _unit(self, word: str) -> str | None:
         """A word of letters alone as the library's model sees it, or None if the library must split it."""
         lower = word.lower()
