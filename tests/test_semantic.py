@@ -90,3 +90,15 @@ def test_slicers(spark):
     returns = s.slicers(lines, countries=["EIRE"], is_return=True).collect()
     assert [r.invoice_number for r in returns] == ["3"]
     assert s.slicers(lines).count() == 3
+
+
+def test_active_months_of_any_year(spark):
+    """Months far apart, on both sides of a block's border and before the epoch."""
+    from tillroll.plans import semantic
+
+    days = ["1887-05-09", "1969-12-31", "1970-01-01", "2010-11-30", "2010-12-01", "2010-12-31", "2016-03-01"]
+    rows = [(1, d) for d in days] + [(2, "2010-12-05"), (None, "2010-12-05"), (3, None)]
+    sales = spark.createDataFrame(rows, "customer_id bigint, d string").selectExpr("customer_id", "CAST(d AS timestamp_ntz) AS invoice_date")
+    found = {(r.customer_id, str(r.month), str(r.cohort_month)) for r in semantic._active_months(sales).collect()}
+    months = {d[:8] + "01" for d in days}
+    assert found == {(1, m, "1887-05-01") for m in months} | {(2, "2010-12-01", "2010-12-01")}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tillroll.functions.scalars import month_of, ratio
 from tillroll.plans.metrics import customer_order_counts
@@ -197,19 +196,39 @@ def top20_customers(sales: DataFrame, n: int = 20) -> DataFrame:
 # --- retention ---------------------------------------------------------------
 
 
+#: Months of a block, one for each bit of a number.
+_BLOCK = 64
+
+
 def _active_months(sales: DataFrame) -> DataFrame:
     """Known customers and the months they have a line in, with their first month.
 
-    Lines are reduced to distinct months before the window, which then holds at
-    most one row per calendar month for a customer.
+    Lines are reduced to a bit for each active month, 64 months a number, in the one
+    shuffle of lines. A customer is then one small row (a number for each block of 64
+    months it was active in), which is spread out to months only to be counted at once.
     """
-    months = (
-        sales.where("customer_id IS NOT NULL AND invoice_date IS NOT NULL")
-        .select("customer_id", month_of(F.col("invoice_date")).alias("month"))
-        .distinct()
+    month = F.col("invoice_date")
+    known = sales.where("customer_id IS NOT NULL AND invoice_date IS NOT NULL").select(
+        "customer_id", (F.year(month) * 12 + F.month(month) - 1).alias("number")
+    )
+    blocks = known.groupBy("customer_id", F.floor(F.col("number") / _BLOCK).cast("int").alias("block")).agg(
+        F.expr(f"bit_or(shiftleft(1L, pmod(number, {_BLOCK})))").alias("bits")
+    )
+    customers = blocks.groupBy("customer_id").agg(F.collect_list(F.struct("block", "bits")).alias("blocks"))
+    numbers = (
+        f"flatten(transform(blocks, b -> transform(filter(sequence(0, {_BLOCK - 1}),"
+        f" i -> (shiftrightunsigned(b.bits, i) & 1L) = 1L), i -> b.block * {_BLOCK} + i)))"
     )
-    first = F.min("month").over(Window.partitionBy("customer_id"))
-    return months.withColumn("cohort_month", first)
+    months = customers.select("customer_id", F.expr(numbers).alias("numbers")).select(
+        "customer_id", F.array_min("numbers").alias("first"), F.explode("numbers").alias("number")
+    )
+
+    def as_date(number: str) -> Column:
+        return F.make_date(
+            F.floor(F.col(number) / 12).cast("int"), F.pmod(F.col(number), F.lit(12)) + 1, F.lit(1)
+        )
+
+    return months.select("customer_id", as_date("number").alias("month"), as_date("first").alias("cohort_month"))
 
 
 def cohort_retention(sales: DataFrame) -> DataFrame:
