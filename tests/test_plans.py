@@ -76,10 +76,3 @@ def test_pages_read_lines_once_for_each_grain(spark, small, tab, most):
     lines = fact.inputFiles()[0].rsplit("/", 1)[0].replace("file://", "")
     read = [lines in plan(df) for df in pages.page_view(fact, tab).values()]
     assert sum(read) == (1 if tab == "quality" else 0)
-
-
-@pytest.mark.parametrize("name", ["cohort_retention", "new_vs_returning"])
-def test_cohorts_shuffle_lines_once(spark, small, name):
-    text = plan(QUERIES[name](spark, small))
-    assert text.count("Exchange hashpartitioning(customer_id#") <= 4 and "Window" not in text
-    assert "bit_or" in text
