@@ -108,3 +108,13 @@ def test_empty_star(spark):
 def test_dimensions_combine_before_the_shuffle(spark, step):
     plan = step(clean(spark, line()))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Aggregate") < plan.index("Exchange")
+
+
+def test_keys_never_run_into_each_other(spark, monkeypatch):
+    """More rows in a file than a key has room for are an error, not equal keys."""
+    from tillroll.operators import star
+
+    assert star.number_rows(spark.range(100).coalesce(1), "key").select("key").distinct().count() == 100
+    monkeypatch.setattr(star, "_PLACE_BITS", 4)
+    with pytest.raises(Exception, match="line keys"):
+        star.number_rows(spark.range(100).coalesce(1), "key").collect()

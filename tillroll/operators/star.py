@@ -123,7 +123,10 @@ def number_rows(df: DataFrame, id_column: str) -> DataFrame:
     part = F.regexp_extract(name, r"^part-(\d+)-", 1).cast("bigint")
     counter = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("bigint")
     high = F.shiftleft(F.shiftleft(part, _COUNTER_BITS).bitwiseOR(counter), _PLACE_BITS)
-    number = (high + F.col("_metadata.row_index") + 1).cast("bigint").alias(id_column)
+    place = F.col("_metadata.row_index")
+    fits = (counter < 1 << _COUNTER_BITS) & (place < 1 << _PLACE_BITS)
+    too_many = F.raise_error(F.lit("a part has more files or a file more rows than line keys allow")).cast("bigint")
+    number = F.when(fits, (high + place + 1).cast("bigint")).otherwise(too_many).alias(id_column)
     return stored.select(number, *df.columns)
 
 
