@@ -113,3 +113,14 @@ def test_query(spark, small, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert r.decoded_sha256 == sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_decoding_many_texts_at_once(coder, monkeypatch):
+    texts = ["", "one text", "", "naïve 😀", "a\n\nb" * 50, ""]
+    packed = [coder.pack(t) for t in texts]
+    for size in (1, 8, 1 << 20):
+        monkeypatch.setattr(byte_bpe, "UNPACKED", size)
+        assert coder.unpack_all(packed).to_pylist() == [t.encode() for t in texts]
+    assert coder.unpack_all([]).to_pylist() == []
+    with pytest.raises(KeyError):
+        coder.unpack_all([packed[1], (10**6).to_bytes(4, "little")])

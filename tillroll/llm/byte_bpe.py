@@ -32,6 +32,8 @@ from tillroll.llm.common import SharedFile, add_columns, texts_of
 #: Entries of each of a worker's memories (emptied when full), and the longest text remembered.
 KNOWN = 400_000
 KNOWN_LENGTH = 48
+#: Bytes of packed ids that are decoded at a time, or one text's if it has more.
+UNPACKED = 1 << 20
 
 #: Letters and numbers that ``regex`` knows and Unicode 16, the version of the format's library, doesn't
 #: (fixed values: first and last of each run). There they are signs like any other.
@@ -58,6 +60,9 @@ _UNSURE = re.compile(r"\s\s|[^\S\n]")
 _SURE_BLANK = regex.compile(r"(?<=\S) (?=\S)")
 
 
+_NO_RANK = float("inf")
+
+
 class RankedBpe:
     """Encoder and decoder of one file of ``base64 rank`` lines that has all 256 bytes."""
 
@@ -69,9 +74,11 @@ class RankedBpe:
         self.strings = {i: name.encode("latin-1") for name, i in names.items()}
         self._length = {i: len(name) for name, i in names.items()}
         self._shorter = {i: self._prefix(name) for name, i in names.items()}
+        self._sorted_ids = np.array(sorted(self.strings), "<u4")
+        self._sorted_strings = pa.array([self.strings[i] for i in sorted(self.strings)], pa.large_binary())
         self._automaton = ahocorasick.Automaton()
         for name, i in names.items():
-            self._automaton.add_word(name, i)
+            self._automaton.add_word(name, (i, len(name) - 1))
         self._automaton.make_automaton()
         self._pattern = regex.compile(pattern)
         self._whole: dict[int, bool] = {}
@@ -88,13 +95,19 @@ class RankedBpe:
 
     def merged(self, name: str) -> list[str]:
         """A short byte string after all merges: lowest rank first, leftmost on ties."""
-        parts, ids = list(name), self._ids
-        while len(parts) > 1:
-            ranked = [(ids[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ids]
-            if not ranked:
+        parts, rank = list(name), self._ids.get
+        ranks = [rank(a + b, _NO_RANK) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            lowest = min(ranks)
+            if lowest == _NO_RANK:
                 break
-            at = min(ranked)[1]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            at = ranks.index(lowest)
+            parts[at] += parts.pop(at + 1)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], _NO_RANK)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], _NO_RANK)
         return parts
 
     def _reached(self, token: int) -> bool:
@@ -119,18 +132,20 @@ class RankedBpe:
         """Tokens of one match of the pattern, its bytes given as Latin-1."""
         if name in self._ids:
             return [self._ids[name]]
-        length, shorter = self._length, self._shorter
+        length, shorter, reached, together = self._length, self._shorter, self._whole, self._together
         longest = [-1] * len(name)
-        for end, token in self._automaton.iter(name):
-            longest[end + 1 - length[token]] = token  # ends rise, so the longest comes last
+        for end, (token, back) in self._automaton.iter(name):
+            longest[end - back] = token  # ends rise, so the longest comes last
         lost = bytearray(len(name) + 1)
         tokens: list[int] = []
         at, token = 0, longest[0]
         while at < len(name):
             while token >= 0:
                 end = at + length[token]
-                if not lost[end] and self._reached(token) and (not tokens or self._compatible(tokens[-1], token)):
-                    break
+                # Looked up here first, as most are known.
+                if not lost[end] and (reached.get(token) or self._reached(token)):
+                    if not tokens or together.get((tokens[-1], token)) or self._compatible(tokens[-1], token):
+                        break
                 token = shorter[token]
             if token >= 0:
                 tokens.append(token)
@@ -187,7 +202,33 @@ class RankedBpe:
 
     def unpack(self, ids: bytes) -> bytes:
         """The bytes that packed ids stand for."""
-        return b"".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self._unpack([ids])[0].as_py()
+
+    def unpack_all(self, ids: list[bytes]) -> pa.Array:
+        """The bytes that each of several packed ids stand for, as a binary column."""
+        parts, chunk, held = [], [], 0
+        for x in ids:
+            chunk.append(x)
+            held += len(x)
+            if held >= UNPACKED:
+                parts.append(self._unpack(chunk))
+                chunk, held = [], 0
+        parts.append(self._unpack(chunk))
+        return pa.concat_arrays(parts)
+
+
+    def _unpack(self, ids: list[bytes]) -> pa.Array:
+        found = np.frombuffer(b"".join(ids), "<u4")
+        at = np.minimum(np.searchsorted(self._sorted_ids, found), len(self._sorted_ids) - 1)
+        if (self._sorted_ids[at] != found).any():
+            raise KeyError("an id that the file of ranks lacks")
+        taken = self._sorted_strings.take(pa.array(at))
+        ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+        # The taken strings lie one after the other, so a text is a run of them.
+        offsets = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1)[ends]
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ids), [None, pa.py_buffer(offsets), taken.buffers()[2]]
+        ).cast(pa.binary())
 
 
 class _Pieces(dict):
@@ -278,7 +319,7 @@ def decode(
 
     def compute(batch: pa.RecordBatch) -> list:
         coder = _coder(shared, pattern)
-        return [pa.array([coder.unpack(x) for x in _packed_ids(batch.column(0), packed)], pa.binary())]
+        return [coder.unpack_all(list(_packed_ids(batch.column(0), packed)))]
 
     return add_columns(docs, [ids], [(decoded, BinaryType())], compute)
 
@@ -298,7 +339,7 @@ def round_trip(
     def compute(batch: pa.RecordBatch) -> list:
         coder = _coder(shared, pattern)
         found = [coder.pack(t) for t in texts_of(batch)]
-        return [_id_column(found, packed), pa.array([coder.unpack(x) for x in found], pa.binary())]
+        return [_id_column(found, packed), coder.unpack_all(found)]
 
     adds = [(ids, _id_type(packed)), (decoded, BinaryType())]
     return add_columns(docs, [text], adds, compute)
