@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tillroll.sources.workspace import land
+from tillroll.sources.workspace import land, scratch
 
 #: Distinct values of a part that are looked at, and cells of a part's histogram.
 FEW_VALUES = 4096
@@ -169,10 +169,9 @@ def find_percentiles(df: DataFrame, wanted: dict[str, Percentile]) -> dict[str,
 def percentile_columns(df: DataFrame, wanted: dict[str, Percentile]) -> dict[str, Column]:
     """``find_percentiles`` as decimal constants."""
     digits = max(_scale(df, p.value) for p in wanted.values()) + 6
-    return {
-        name: F.lit(None if v is None else format(v, "f")).cast(f"decimal(38,{digits})")
-        for name, v in find_percentiles(df, wanted).items()
-    }
+    with scratch(df.sparkSession):
+        found = find_percentiles(df, wanted)
+    return {name: F.lit(None if v is None else format(v, "f")).cast(f"decimal(38,{digits})") for name, v in found.items()}
 
 
 def exact_percentiles(df: DataFrame, value: str, at: dict[str, str]) -> DataFrame:

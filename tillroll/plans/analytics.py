@@ -90,11 +90,14 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, n: int = 20) -> Data
 def fact_sales_enriched(
     fact: DataFrame, dim_country: DataFrame, dim_product: DataFrame
 ) -> DataFrame:
-    """Lines with names; here a return is a negative quantity, whatever the stored flag."""
+    """Lines with names; here a return is a negative quantity, whatever the stored flag.
+
+    Countries come last, so that their names are not shuffled with the lines.
+    """
     names = dim_product.select("stock_code", F.col("description").alias("product_name"))
     return (
-        fact.join(dim_country, "country_id", "left")
-        .join(names, "stock_code", "left")
+        fact.join(names, "stock_code", "left")
+        .join(dim_country, "country_id", "left")
         .select(
             "sale_id",
             "invoice_number",
